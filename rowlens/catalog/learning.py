@@ -1,0 +1,247 @@
+"""Queries for sampling, features, clustering, classification and evaluation."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from rowlens.catalog.cleaning import AGE_BOUNDS, _band_sql
+from rowlens.catalog.profiling import LARGE_SQL, _rank_sql, with_large
+from rowlens.catalog.registry import Tables, query
+from rowlens.functions.columns import band
+from rowlens.operators import classify, cluster, evaluate, features, sampling
+from rowlens.operators.profile import row_count
+from rowlens.plans import study
+from rowlens.plans.study import ConditionalFill, Study
+
+LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+SEED = 1234
+
+
+def _unit_sql(*keys: str) -> str:
+    joined = f"concat_ws('|', '{SEED}', {', '.join(f'CAST({k} AS VARCHAR)' for k in keys)})"
+    return f"(('0x' || substr(md5({joined}), 1, 8))::UBIGINT / 4294967296.0::DOUBLE)"
+
+
+_LINE_UNIT = _unit_sql("l_orderkey", "l_linenumber", "l_partkey")
+_KEY = ("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query(
+    "stratified_sample_hash",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem
+        WHERE {_LINE_UNIT} < CASE l_returnflag WHEN 'R' THEN 1.0 WHEN 'A' THEN 0.02 END""",
+)
+def stratified_sample_hash(t: Tables):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    return sampling.stratified_sample_hash(rows, "l_returnflag", {"R": 1.0, "A": 0.02}, _KEY, SEED)
+
+
+@query(
+    "train_test_split_hash",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN {_LINE_UNIT} < 0.8 THEN 'train' ELSE 'test' END AS part
+        FROM lineitem""",
+)
+def train_test_split_hash(t: Tables):
+    train, test = sampling.split_hash(t.lineitem.select(*_KEY), 0.8, _KEY, SEED)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+@query("stratified_sample")
+def stratified_sample(t: Tables):
+    kept = sampling.stratified_sample(t.lineitem, "l_returnflag", {"R": 1.0, "A": 0.02, "N": 0.02}, SEED)
+    return kept.groupBy("l_returnflag").agg(row_count(None).alias("n"))
+
+
+@query("random_split")
+def random_split(t: Tables):
+    train, test = sampling.random_split(t.lineitem, [0.8, 0.2], SEED)
+    parts = train.select(F.lit("train").alias("part")).unionByName(test.select(F.lit("test").alias("part")))
+    return parts.groupBy("part").agg(row_count(None).alias("n"))
+
+
+def _index_sql(column: str) -> str:
+    return f"""SELECT '{column}' AS attribute, CAST({column} AS VARCHAR) AS value, count(*) AS n,
+                 CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({column} AS VARCHAR)) - 1 AS DOUBLE) AS index
+               FROM orders GROUP BY {column}"""
+
+
+@query("string_index", " UNION ALL ".join(_index_sql(c) for c in ("o_orderpriority", "o_orderstatus", "o_custkey")))
+def string_index(t: Tables):
+    return features.string_index_table(t.orders, ["o_orderpriority", "o_orderstatus", "o_custkey"])
+
+
+@query(
+    "string_index_rows",
+    f"""SELECT o_orderkey, p.i AS o_orderpriority, s.i AS o_orderstatus FROM orders
+        JOIN {_rank_sql("o_orderpriority", "orders")} p ON o_orderpriority = p.v
+        JOIN {_rank_sql("o_orderstatus", "orders")} s ON o_orderstatus = s.v""",
+)
+def string_index_rows(t: Tables):
+    rows = t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    columns = ["o_orderpriority", "o_orderstatus"]
+    return features.apply_index(rows, features.string_index_table(rows, columns), columns)
+
+
+_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus")
+
+
+def _vectors(t: Tables):
+    """Lines with the label ``large``, flags as category indexes, and a feature vector."""
+    rows = with_large(t.lineitem).select(*LINE_KEY, *_FEATURES, F.col("large").cast("double").alias("large"))
+    indexed = features.index_for_models(rows, ["l_returnflag", "l_linestatus"])
+    return features.assemble(indexed, _FEATURES)
+
+
+@query(
+    "assemble_features",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS f0, l_extendedprice AS f1, l_discount AS f2,
+               r.i AS f3, s.i AS f4 FROM lineitem
+        JOIN {_rank_sql("l_returnflag", "lineitem")} r ON l_returnflag = r.v
+        JOIN {_rank_sql("l_linestatus", "lineitem")} s ON l_linestatus = s.v""",
+)
+def assemble_features(t: Tables):
+    vectors = _vectors(t).withColumn("v", vector_to_array("features"))
+    return vectors.select(*_KEY, *(F.col("v")[i].alias(f"f{i}") for i in range(len(_FEATURES))))
+
+
+_CENTRES = ((5.0, 0.02, 0.01, 2.0), (25.0, 0.05, 0.04, 4.0), (45.0, 0.08, 0.07, 6.0), (25.0, 0.05, 0.04, 1.0))
+_POINT = ("l_quantity", "l_discount", "l_tax", "l_linenumber")
+
+
+def _gap_sql(centre) -> str:
+    squares = (f"({c} - {at}::DOUBLE) * ({c} - {at}::DOUBLE)" for c, at in zip(_POINT, centre, strict=True))
+    return "sqrt(" + " + ".join(squares) + ")"
+
+
+@query(
+    "nearest_center_distance",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, round(d, 9) AS distance,
+               CASE d {" ".join(f"WHEN g{i} THEN {i}" for i in range(len(_CENTRES)))} END AS center
+        FROM (SELECT *, least({", ".join(f"g{i}" for i in range(len(_CENTRES)))}) AS d
+              FROM (SELECT *, {", ".join(f"{_gap_sql(c)} AS g{i}" for i, c in enumerate(_CENTRES))} FROM lineitem))""",
+)
+def nearest_center_distance(t: Tables):
+    scored = cluster.nearest_center(t.lineitem, _POINT, _CENTRES)
+    return scored.select(*_KEY, F.round("distance", 9).alias("distance"), "center")
+
+
+@query("kmeans_assign")
+def kmeans_assign(t: Tables):
+    """Clusters of four numeric columns of the lines."""
+    rows = t.lineitem.select(*_KEY, "l_quantity", "l_discount", "l_tax")
+    vectors = features.assemble(rows, _POINT).persist()
+    scored = cluster.assign(cluster.fit_kmeans(vectors), vectors)
+    return scored.groupBy("prediction").agg(
+        row_count(None).alias("n"), F.avg("distance").alias("mean_distance"), F.max("distance").alias("max_distance")
+    )
+
+
+@query("kmeans_outliers")
+def kmeans_outliers(t: Tables):
+    """The twenty lines farthest from their centre, on all model features."""
+    vectors = _vectors(t).persist()
+    assigned = cluster.assign(cluster.fit_kmeans(vectors), vectors)
+    return cluster.outliers(assigned, ties=LINE_KEY).select(*_KEY, "prediction", "distance")
+
+
+_SCORED_SQL = f"""(SELECT {LARGE_SQL} AS large, CASE WHEN l_quantity > 30 THEN 1 ELSE 0 END AS prediction,
+                          l_quantity * (1 - l_discount) AS score FROM lineitem)"""
+
+
+def _scored(t: Tables):
+    """A hand-made classifier: large quantities are called large sales."""
+    return with_large(t.lineitem).select(
+        "large",
+        F.when(F.col("l_quantity") > 30, 1).otherwise(0).alias("prediction"),
+        (F.col("l_quantity") * (1 - F.col("l_discount"))).alias("score"),
+    )
+
+
+@query(
+    "confusion_metrics",
+    f"""SELECT tp, fn, fp, tn, (tp + tn) / n AS accuracy, tp / (tp + fn) AS recall, tp / (tp + fp) AS precision,
+               2 * tp / (2 * tp + fp + fn) AS f1, (fp + fn) / n AS error
+        FROM (SELECT count(*) AS n, count(*) FILTER (large = 1 AND prediction = 1) AS tp,
+                     count(*) FILTER (large = 1 AND prediction = 0) AS fn,
+                     count(*) FILTER (large = 0 AND prediction = 1) AS fp,
+                     count(*) FILTER (large = 0 AND prediction = 0) AS tn FROM {_SCORED_SQL})""",
+)
+def confusion_metrics(t: Tables):
+    return evaluate.confusion_metrics(_scored(t), "large", 1)
+
+
+@query(
+    "auc_roc",
+    f"""SELECT round((sum(r) FILTER (large = 1) - p * (p + 1) / 2) / (p * q), 9) AS auc
+        FROM (SELECT large, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS r,
+                     (sum(large) OVER ())::DOUBLE AS p, (sum(1 - large) OVER ())::DOUBLE AS q FROM {_SCORED_SQL})
+        GROUP BY p, q""",
+)
+def auc_roc(t: Tables):
+    return evaluate.auc_roc(_scored(t), "large", 1).withColumn("auc", F.round("auc", 9))
+
+
+def _classified(t: Tables, kind: str):
+    """Train on four fifths of the lines and evaluate on the rest, with the default settings."""
+    training, testing = sampling.split_hash(_vectors(t), 0.8, _KEY, SEED)
+    model = classify.train(training, kind, "large")
+    return evaluate.evaluate(classify.score(model, testing), "large", 1)
+
+
+for _kind in classify.SETTINGS:
+    query(f"clf_{_kind}")(lambda t, kind=_kind: _classified(t, kind))
+
+
+#: The test tables read as a study: orders are the parent, lines the child.
+SALES = Study(
+    key="o_orderkey",
+    label="large",
+    label_source="size",
+    label_zero="S",
+    ordered=("l_quantity", "l_extendedprice", "l_discount", "l_linenumber"),
+    nominal=("l_returnflag", "l_linestatus", "o_orderstatus", "o_orderpriority"),
+    numeric=("l_quantity", "l_extendedprice", "l_discount"),
+    row_key=("o_orderkey", "l_linenumber", "l_partkey"),
+    sentinel="7",
+    sentinel_columns=("l_linenumber", "l_quantity"),
+    located_by=("l_partkey", "o_custkey"),
+    sparse=("l_suppkey", "l_shipdate", "o_orderdate"),
+    complete=("l_linenumber",),
+    renamed={"o_totalprice": "order_total"},
+    conditional_fills=(ConditionalFill("l_linenumber", "l_linestatus", "O", 0),),
+    constant_fills={"quantity_band": 11},
+    mean_fills=("l_quantity",),
+    band_fills={"quantity_band": ("l_quantity", AGE_BOUNDS)},
+    strata="l_returnflag",
+    fractions={"R": 1.0, "A": 0.5, "N": 0.02},
+    seed=SEED,
+)
+
+
+@query(
+    "prepared_rows",
+    f"""WITH j AS (SELECT o_orderkey, o_custkey, o_totalprice AS order_total, o_orderstatus, o_orderpriority, l_partkey,
+                 CASE WHEN l_linenumber <> 7 THEN l_linenumber WHEN l_linestatus = 'O' THEN 0 END AS l_linenumber,
+                 nullif(l_quantity, 7.0) AS l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+                 CASE WHEN {LARGE_SQL} = 1 THEN 'L' ELSE 'S' END AS size,
+                 {_band_sql("nullif(l_quantity, 7.0)", AGE_BOUNDS)} AS quantity_band
+          FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+        c AS (SELECT * FROM j WHERE l_linenumber IS NOT NULL), m AS (SELECT avg(l_quantity) AS mean FROM c)
+        SELECT c.* REPLACE (round(coalesce(l_quantity, mean), 6) AS l_quantity,
+                 coalesce(quantity_band, {_band_sql("mean", AGE_BOUNDS)}, 11) AS quantity_band),
+               CASE WHEN size = 'S' THEN 0 ELSE 1 END AS large
+        FROM c, m WHERE {_unit_sql("o_orderkey", "l_linenumber", "l_partkey")}
+                        < CASE l_returnflag WHEN 'R' THEN 1.0 WHEN 'A' THEN 0.5 WHEN 'N' THEN 0.02 END""",
+)
+def prepared_rows(t: Tables):
+    """Joined, cleaned, filled, labelled and sampled lines, step by step from one description."""
+    sale = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    lines = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey").withColumns(
+        {
+            "size": F.when(sale > 50000, "L").otherwise("S"),
+            "quantity_band": F.when(F.col("l_quantity") == 7, None).otherwise(band(F.col("l_quantity"), AGE_BOUNDS)),
+        }
+    )
+    rows = study.prepare(SALES, t.orders, [lines])
+    return rows.withColumn("l_quantity", F.round("l_quantity", 6))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rowlens.functions.columns import name
 from rowlens.operators.ordered import in_blocks, running_totals
 from rowlens.operators.profile import category_counts
+from rowlens.session import pin
 
 
 def string_index_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -28,12 +29,13 @@ def string_index_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def apply_index(df: DataFrame, table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace each column by its index from :func:`string_index_table`.
 
+    The table is kept once, so that the ranking does not run again for each column.
     Spark broadcasts a mapping when its measured size allows; a longer one is joined
     by shuffle, where the run-time skew split divides a value that many rows share.
     """
-    encoded = df
+    encoded, kept = df, pin(table)
     for c in columns:
-        mapping = table.filter(F.col("attribute") == F.lit(c)).select(
+        mapping = kept.filter(F.col("attribute") == F.lit(c)).select(
             F.col("value").alias("_value"), F.col("index").alias("_index")
         )
         encoded = encoded.join(mapping, name(c).cast("string") == F.col("_value"), "left")

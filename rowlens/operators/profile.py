@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from rowlens.functions.columns import name, ratio
+from rowlens.functions.columns import name
 
 #: Up to this many columns all pairs fit one aggregate; beyond it a matrix kernel is used.
 NARROW = 12
@@ -158,42 +159,59 @@ def top_k(df: DataFrame, score: str, k: int, ties: Sequence[str] = ()) -> DataFr
     return df.orderBy(name(score).desc_nulls_last(), *(name(c) for c in ties)).limit(k)
 
 
+_MOMENTS = "i int, j int, n double, mi double, mj double, cii double, cjj double, cij double"
+
+
 def _wide_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All pairs by matrix products inside the tasks; only sums per pair are shuffled.
+    """All pairs from one scan by matrix products inside the tasks.
 
-    Columns are centred on their means first, so the plain sums lose no digits.
+    Each task yields one row of centred moments per pair; only those are shuffled.
+    They are merged around the common mean, so no digits are lost to large values.
     """
-    x = [name(c).cast("double") for c in columns]
-    means = df.agg(F.struct(*(F.avg(v).alias(f"m{i}") for i, v in enumerate(x))).alias("means")).scalar()
-    centred = df.select(*((v - means.getField(f"m{i}")).alias(f"x{i}") for i, v in enumerate(x)))
-    sums = centred.mapInArrow(_pair_sums, "i int, j int, n double, si double, sj double, sii double, sjj double, sij double")
-    total = sums.groupBy("i", "j").agg(*(F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sjj", "sij")))
-    n, si, sj, sii, sjj, sij = (F.col(c) for c in ("n", "si", "sj", "sii", "sjj", "sij"))
-    spread_i, spread_j = n * sii - si * si, n * sjj - sj * sj
-    names = F.array(*(F.lit(c) for c in columns))
-    varies = (spread_i > 0) & (spread_j > 0)
-    on_diagonal = F.when(F.col("i") == F.col("j"), F.lit(1.0))
-    value = F.when(varies, F.coalesce(on_diagonal, ratio(n * sij - si * sj, F.sqrt(spread_i) * F.sqrt(spread_j))))
-    upper = total.select("i", "j", value.alias("correlation"))
-    mirrored = F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
-    cells = upper.select(F.explode(F.array_distinct(mirrored)).alias("cell"), "correlation")
-    return cells.select(
-        names[F.col("cell.i")].alias("row_attr"), names[F.col("cell.j")].alias("col_attr"), "correlation"
+    values = df.select(*(name(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)))
+    parts = values.mapInArrow(_pair_moments, _MOMENTS)
+    pair = Window.partitionBy("i", "j")
+    n = F.col("n")
+    gap_i = F.col("mi") - F.sum(n * F.col("mi")).over(pair) / F.sum(n).over(pair)
+    gap_j = F.col("mj") - F.sum(n * F.col("mj")).over(pair) / F.sum(n).over(pair)
+    merged = (
+        parts.select("i", "j", n, "cii", "cjj", "cij", gap_i.alias("gi"), gap_j.alias("gj"))
+        .groupBy("i", "j")
+        .agg(
+            F.sum(F.expr("cii + n * gi * gi")).alias("cii"),
+            F.sum(F.expr("cjj + n * gj * gj")).alias("cjj"),
+            F.sum(F.expr("cij + n * gi * gj")).alias("cij"),
+        )
     )
+    cii, cjj = F.col("cii"), F.col("cjj")
+    value = F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.col("cij") / (F.sqrt(cii) * F.sqrt(cjj)))
+    upper = merged.select("i", "j", F.when((cii > 0) & (cjj > 0), value).alias("correlation"))
+    both_ways = F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
+    cells = upper.select(F.explode(F.array_distinct(both_ways)).alias("cell"), "correlation")
+    names = F.array(*(F.lit(c) for c in columns))
+    return cells.select(names[F.col("cell.i")].alias("row_attr"), names[F.col("cell.j")].alias("col_attr"), "correlation")
 
 
-def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums over the rows that have both values, for each pair i <= j, one set per task."""
-    sums = None
+def _pair_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Count, means and centred moments over the rows that have both values, per pair i <= j."""
+    sums, shift = None, None
     for batch in batches:
         x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in batch.columns])
         has = ~np.isnan(x)
-        x[~has] = 0.0
+        if shift is None:
+            # Any value near the data keeps the sums below small.
+            shift = np.where(has, x, 0.0).sum(axis=0) / np.maximum(has.sum(axis=0), 1)
+        x = np.where(has, x - shift, 0.0)
         mask = has.astype(float)
         first, square = x.T @ mask, (x * x).T @ mask
         part = np.stack([mask.T @ mask, first, first.T, square, square.T, x.T @ x])
         sums = part if sums is None else sums + part
-    if sums is not None:
-        i, j = np.triu_indices(sums.shape[1])
-        columns = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *(pa.array(part[i, j]) for part in sums)]
-        yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "n", "si", "sj", "sii", "sjj", "sij"])
+    if sums is None:
+        return
+    i, j = np.triu_indices(sums.shape[1])
+    n, si, sj, sii, sjj, sij = (part[i, j] for part in sums)
+    met = n > 0
+    i, j, n, si, sj, sii, sjj, sij = (v[met] for v in (i, j, n, si, sj, sii, sjj, sij))
+    moments = (n, shift[i] + si / n, shift[j] + sj / n, sii - si * si / n, sjj - sj * sj / n, sij - si * sj / n)
+    columns = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *(pa.array(m, pa.float64()) for m in moments)]
+    yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "n", "mi", "mj", "cii", "cjj", "cij"])
