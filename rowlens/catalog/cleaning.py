@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowlens.catalog.registry import Tables, query
+from rowlens.functions.columns import AGE_BOUNDS
 from rowlens.operators import clean, profile, relate
 from rowlens.session import new_folder
 from rowlens.sources.files import scan_csv, scan_parquet, write_csv, write_parquet
 
-# Upper bounds (exclusive) of the age bands 1 to 10; band 11 is open.
-AGE_BOUNDS = (6, 11, 16, 21, 26, 36, 46, 56, 66, 76)
-
 PRIORITY = {
     "1-URGENT": "fast",
     "2-HIGH": "fast",

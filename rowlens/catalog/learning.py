@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from rowlens.catalog.cleaning import AGE_BOUNDS, _band_sql
+from rowlens.catalog.cleaning import _band_sql
 from rowlens.catalog.profiling import LARGE_SQL, _rank_sql, with_large
 from rowlens.catalog.registry import Tables, query
-from rowlens.functions.columns import band
+from rowlens.functions.columns import AGE_BOUNDS, band
 from rowlens.operators import classify, cluster, evaluate, features, sampling
 from rowlens.operators.profile import row_count
 from rowlens.plans import study
 from rowlens.plans.study import ConditionalFill, Study
+from rowlens.sources.files import stage
 
 LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
 SEED = 1234
@@ -90,7 +91,7 @@ def _vectors(t: Tables):
     """Lines with the label ``large``, flags as category indexes, and a feature vector."""
     rows = with_large(t.lineitem).select(*LINE_KEY, *_FEATURES, F.col("large").cast("double").alias("large"))
     indexed = features.index_for_models(rows, ["l_returnflag", "l_linestatus"])
-    return features.assemble(indexed, _FEATURES)
+    return stage(features.assemble(indexed, _FEATURES), "features", LINE_KEY)
 
 
 @query(
@@ -130,7 +131,7 @@ def nearest_center_distance(t: Tables):
 def kmeans_assign(t: Tables):
     """Clusters of four numeric columns of the lines."""
     rows = t.lineitem.select(*_KEY, "l_quantity", "l_discount", "l_tax")
-    vectors = features.assemble(rows, _POINT).persist()
+    vectors = stage(features.assemble(rows, _POINT), "points", _KEY)
     scored = cluster.assign(cluster.fit_kmeans(vectors), vectors)
     return scored.groupBy("prediction").agg(
         row_count(None).alias("n"), F.avg("distance").alias("mean_distance"), F.max("distance").alias("max_distance")
@@ -140,7 +141,7 @@ def kmeans_assign(t: Tables):
 @query("kmeans_outliers")
 def kmeans_outliers(t: Tables):
     """The twenty lines farthest from their centre, on all model features."""
-    vectors = _vectors(t).persist()
+    vectors = _vectors(t)
     assigned = cluster.assign(cluster.fit_kmeans(vectors), vectors)
     return cluster.outliers(assigned, ties=LINE_KEY).select(*_KEY, "prediction", "distance")
 

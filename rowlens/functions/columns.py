@@ -9,12 +9,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Upper bounds (exclusive) of the age bands 1 to 10; band 11 is open.
+AGE_BOUNDS = (6, 11, 16, 21, 26, 36, 46, 56, 66, 76)
+
 
 def name(text: str) -> Column:
     """A column by its exact name, which may hold dots, dashes or brackets."""
     return F.col("`" + text.replace("`", "``") + "`")
 
 
+def equals(column: str, value: object) -> Column:
+    """Equality with one class of a column: by number for a numeric value, else by text."""
+    if isinstance(value, (int, float)):
+        return name(column).cast("double") == F.lit(float(value))
+    return name(column).cast("string") == F.lit(str(value))
+
+
 def blank(column: Column, dtype: T.DataType, sentinel: str) -> Column:
     """Null where ``column`` holds the code for "missing", compared in the column's own type."""
     if isinstance(dtype, T.StringType):

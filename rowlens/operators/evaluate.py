@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowlens.functions.columns import name, ratio
+from rowlens.functions.columns import equals, name, ratio
 from rowlens.operators.ordered import in_blocks, running_totals
 
 _CELLS = ("tp", "fn", "fp", "tn")
@@ -33,13 +33,6 @@ def _metrics() -> list[Column]:
     ]
 
 
-def _is(column: str, value: object) -> Column:
-    """Equality with the positive class, for numeric and text columns alike."""
-    if isinstance(value, (int, float)):
-        return name(column).cast("double") == F.lit(float(value))
-    return name(column).cast("string") == F.lit(str(value))
-
-
 def confusion_metrics(
     predictions: DataFrame, label: str, positive: object, prediction: str = "prediction", weight: str | None = None
 ) -> DataFrame:
@@ -49,7 +42,7 @@ def confusion_metrics(
     is never predicted simply counts 0.
     """
     n = name(weight) if weight else F.lit(1)
-    return predictions.agg(*_cells(_is(label, positive), _is(prediction, positive), n)).select(*_metrics())
+    return predictions.agg(*_cells(equals(label, positive), equals(prediction, positive), n)).select(*_metrics())
 
 
 def _area(running: DataFrame) -> DataFrame:
@@ -69,7 +62,7 @@ def auc_roc(
     predictions: DataFrame, label: str, positive: object, score: str = "score", weight: str | None = None
 ) -> DataFrame:
     """Exact area under the ROC curve; null if a class is absent."""
-    actual, n = _is(label, positive), name(weight) if weight else F.lit(1)
+    actual, n = equals(label, positive), name(weight) if weight else F.lit(1)
     counts = (
         predictions.filter(name(score).isNotNull() & name(label).isNotNull())
         .groupBy(name(score).cast("double").alias("score"))
@@ -90,7 +83,7 @@ def evaluate(
     The model scores each row once: the rows are reduced to counts per score, which
     feed both parts. ``score`` must grow with the belief in the positive class.
     """
-    actual, predicted = _is(label, positive), _is(prediction, positive)
+    actual, predicted = equals(label, positive), equals(prediction, positive)
     rows = predictions.filter(name(label).isNotNull())
     counts = rows.groupBy(name(score).cast("double").alias("score")).agg(*_cells(actual, predicted, F.lit(1)))
     per_score = counts.withColumns({"pos": F.col("tp") + F.col("fn"), "neg": F.col("fp") + F.col("tn")})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,37 +46,37 @@ def apply_index(df: DataFrame, table: DataFrame, columns: Sequence[str]) -> Data
 def index_for_models(df: DataFrame, columns: Sequence[str], max_values: int = 10_000) -> DataFrame:
     """Replace nominal columns by category indexes that carry the label list for tree models.
 
-    One fit over all columns. The model holds every label, so a column with more than
-    ``max_values`` values is refused; such a column is for :func:`string_index_table`.
+    The label lists come from one scan over all columns. A model holds every label,
+    so a column with more than ``max_values`` values is refused; such a column is for
+    :func:`string_index_table`.
     """
     columns = list(columns)
     if not columns:
         return df
-    sizes = df.agg(*(F.approx_count_distinct(name(c)).alias(c) for c in columns)).first()
-    wide = [c for c in columns if sizes[c] > max_values]
+    table = pin(string_index_table(df, columns))
+    sizes = {row.attribute: row.n for row in table.groupBy("attribute").agg(F.count("index").alias("n")).collect()}
+    wide = [c for c in columns if sizes.get(c, 0) > max_values]
     if wide:
         raise ValueError(f"too many values for a model's category index: {wide}")
-    # StringIndexer reads column names as expressions, so odd names are replaced meanwhile.
-    safe = {c: f"_in_{i}" for i, c in enumerate(columns)}
-    inputs = df.select(*(name(c).cast("string").alias(safe[c]) if c in safe else name(c) for c in df.columns))
-    outputs = [f"_out_{i}" for i in range(len(columns))]
-    model = StringIndexer(inputCols=list(safe.values()), outputCols=outputs).fit(inputs)
-    indexed = model.transform(inputs)
-    back = dict(zip(columns, outputs, strict=True))
-    return indexed.select(*(F.col(back[c]).alias(c) if c in back else name(c) for c in df.columns))
+    labels: dict[str, list[str]] = {c: [] for c in columns}
+    for row in table.orderBy("attribute", "index").collect():
+        labels[row.attribute].append(row.value)
+    # The model reads column names as expressions, so odd names are replaced meanwhile.
+    inputs = {c: f"_in_{i}" for i, c in enumerate(columns)}
+    outputs = {c: f"_out_{i}" for i, c in enumerate(columns)}
+    indexed = df.select(*(name(c).cast("string").alias(inputs[c]) if c in inputs else name(c) for c in df.columns))
+    for c in columns:
+        indexed = StringIndexerModel.from_labels(labels[c], inputs[c], outputs[c]).transform(indexed)
+    return indexed.select(*(F.col(outputs[c]).alias(c) if c in outputs else name(c) for c in df.columns))
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
     """Numeric and indexed columns as one vector; a null is an error."""
     safe = [f"_f_{i}" for i in range(len(columns))]
-    named = df.select("*", *(name(c).alias(s, metadata=_metadata(df, c)) for c, s in zip(columns, safe, strict=True)))
+    named = df.select("*", *(name(c).alias(s) for c, s in zip(columns, safe, strict=True)))
     return VectorAssembler(inputCols=safe, outputCol=output, handleInvalid="error").transform(named).drop(*safe)
 
 
-def _metadata(df: DataFrame, column: str) -> dict:
-    return df.schema[column].metadata
-
-
 def select_by_gain_ratio(df: DataFrame, ranking: DataFrame, threshold: float, keep: Sequence[str] = ()) -> DataFrame:
     """Drop the ranked columns whose gain ratio is below ``threshold`` or undefined.
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowlens.functions.columns import name, ratio, x_log2_x
+from rowlens.functions.columns import equals, name, ratio, x_log2_x
 from rowlens.operators.ordered import in_blocks, running_totals
 from rowlens.operators.profile import category_counts
 
@@ -65,7 +65,7 @@ def label_counts(
         cells += [F.lit(c), nulls["whole"], nulls["real"], name(c).cast("string")]
     for c in ordered:
         cells += [F.lit(c), _whole(df, c), _real(df, c), nulls["text"]]
-    is_positive = name(label).cast("string") == F.lit(str(positive))
+    is_positive = equals(label, positive)
     kept = [name(weight).alias("_w")] if weight else []
     long = (
         df.filter(name(label).isNotNull())

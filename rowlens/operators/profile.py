@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -13,8 +13,8 @@ from pyspark.sql.window import Window
 
 from rowlens.functions.columns import name
 
-#: Up to this many columns all pairs fit one aggregate; beyond it a matrix kernel is used.
-NARROW = 12
+#: Up to this many columns the covariances fit one compiled aggregate.
+NARROW = 6
 
 
 def row_count(weight: str | None) -> Column:
@@ -62,19 +62,35 @@ def decoded_counts(
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample standard deviation, minimum and maximum per column, as numbers."""
-    aggregates, stacked = [], []
-    for i, c in enumerate(columns):
-        x = name(c).cast("double")
-        parts = {"n": F.count(x), "mean": F.avg(x), "stddev": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
-        aggregates += [part.alias(f"{label}{i}") for label, part in parts.items()]
-        stacked += [F.lit(c), *(F.col(f"{label}{i}") for label in parts)]
-    row = df.agg(*aggregates)
-    return row.select(F.stack(F.lit(len(columns)), *stacked).alias("attribute", "n", "mean", "stddev", "min", "max"))
+    """Count, mean, sample standard deviation, minimum and maximum per column, as numbers.
+
+    Values are stacked and grouped by the position of their column: five aggregates
+    stay compiled for any number of columns, where five per column would not.
+    """
+    stacked = [v for i, c in enumerate(columns) for v in (F.lit(i), name(c).cast("double"))]
+    x = F.col("x")
+    summary = (
+        df.select(F.stack(F.lit(len(columns)), *stacked).alias("i", "x"))
+        .groupBy("i")
+        .agg(
+            F.count(x).alias("n"),
+            F.avg(x).alias("mean"),
+            F.stddev_samp(x).alias("stddev"),
+            F.min(x).alias("min"),
+            F.max(x).alias("max"),
+        )
+    )
+    names = F.array(*(F.lit(c) for c in columns))
+    return summary.select(names[F.col("i")].alias("attribute"), "n", "mean", "stddev", "min", "max")
 
 
 def covariance_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Sample covariance of each unordered pair of columns, over the rows that have both."""
+    if len(columns) > NARROW:
+        moments = _pair_moments(df, columns).filter("i < j")
+        value = F.when(F.col("n") > 1, F.try_divide(F.col("cij"), F.col("n") - 1))
+        a, b = _names(columns)
+        return moments.select(a.alias("attribute_a"), b.alias("attribute_b"), value.alias("covariance"))
     pairs = list(combinations(columns, 2))
     row = df.agg(
         *(F.covar_samp(name(a).cast("double"), name(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(pairs))
@@ -88,21 +104,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Each pair uses the rows that have both values; a column without variation gives null.
     """
-    if len(columns) > NARROW:
-        return _wide_correlation(df, columns)
-    pairs = list(combinations(range(len(columns)), 2))
-    x = [name(c).cast("double") for c in columns]
-    row = df.agg(
-        *(F.corr(x[i], x[j]).alias(f"p{i}_{j}") for i, j in pairs),
-        *(F.when(F.min(v) < F.max(v), F.lit(1.0)).alias(f"p{i}_{i}") for i, v in enumerate(x)),
-    )
-    cells = [
-        v
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
-        for v in (F.lit(a), F.lit(b), F.col(f"p{min(i, j)}_{max(i, j)}"))
-    ]
-    return row.select(F.stack(F.lit(len(columns) ** 2), *cells).alias("row_attr", "col_attr", "correlation"))
+    cii, cjj = F.col("cii"), F.col("cjj")
+    value = F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.col("cij") / (F.sqrt(cii) * F.sqrt(cjj)))
+    upper = _pair_moments(df, columns).select("i", "j", F.when((cii > 0) & (cjj > 0), value).alias("correlation"))
+    both_ways = F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
+    cells = upper.select(F.explode(F.array_distinct(both_ways)).alias("cell"), "correlation").select("cell.*", "correlation")
+    a, b = _names(columns)
+    return cells.select(a.alias("row_attr"), b.alias("col_attr"), "correlation")
 
 
 def correlation_wide(correlation: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -159,59 +167,71 @@ def top_k(df: DataFrame, score: str, k: int, ties: Sequence[str] = ()) -> DataFr
     return df.orderBy(name(score).desc_nulls_last(), *(name(c) for c in ties)).limit(k)
 
 
+def _names(columns: Sequence[str]) -> tuple[Column, Column]:
+    names = F.array(*(F.lit(c) for c in columns))
+    return names[F.col("i")], names[F.col("j")]
+
+
 _MOMENTS = "i int, j int, n double, mi double, mj double, cii double, cjj double, cij double"
 
 
-def _wide_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All pairs from one scan by matrix products inside the tasks.
+def _pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Centred second moments (i, j, n, cii, cjj, cij) of all pairs i <= j from one scan.
 
-    Each task yields one row of centred moments per pair; only those are shuffled.
-    They are merged around the common mean, so no digits are lost to large values.
+    Matrix products inside the tasks give one row of moments per pair and task; only
+    those are shuffled. They are merged around the common mean, so no digits are lost
+    to large values. An aggregate with one expression per pair is slower from about
+    ten columns on, as its generated code gets too long to be compiled.
     """
     values = df.select(*(name(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)))
-    parts = values.mapInArrow(_pair_moments, _MOMENTS)
+    parts = values.mapInArrow(_task_moments(), _MOMENTS)
     pair = Window.partitionBy("i", "j")
     n = F.col("n")
     gap_i = F.col("mi") - F.sum(n * F.col("mi")).over(pair) / F.sum(n).over(pair)
     gap_j = F.col("mj") - F.sum(n * F.col("mj")).over(pair) / F.sum(n).over(pair)
-    merged = (
-        parts.select("i", "j", n, "cii", "cjj", "cij", gap_i.alias("gi"), gap_j.alias("gj"))
-        .groupBy("i", "j")
-        .agg(
-            F.sum(F.expr("cii + n * gi * gi")).alias("cii"),
-            F.sum(F.expr("cjj + n * gj * gj")).alias("cjj"),
-            F.sum(F.expr("cij + n * gi * gj")).alias("cij"),
-        )
+    gaps = parts.select("i", "j", n, "cii", "cjj", "cij", gap_i.alias("gi"), gap_j.alias("gj"))
+    return gaps.groupBy("i", "j").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.expr("cii + n * gi * gi")).alias("cii"),
+        F.sum(F.expr("cjj + n * gj * gj")).alias("cjj"),
+        F.sum(F.expr("cij + n * gi * gj")).alias("cij"),
     )
-    cii, cjj = F.col("cii"), F.col("cjj")
-    value = F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.col("cij") / (F.sqrt(cii) * F.sqrt(cjj)))
-    upper = merged.select("i", "j", F.when((cii > 0) & (cjj > 0), value).alias("correlation"))
-    both_ways = F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
-    cells = upper.select(F.explode(F.array_distinct(both_ways)).alias("cell"), "correlation")
-    names = F.array(*(F.lit(c) for c in columns))
-    return cells.select(names[F.col("cell.i")].alias("row_attr"), names[F.col("cell.j")].alias("col_attr"), "correlation")
-
-
-def _pair_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Count, means and centred moments over the rows that have both values, per pair i <= j."""
-    sums, shift = None, None
-    for batch in batches:
-        x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in batch.columns])
-        has = ~np.isnan(x)
-        if shift is None:
-            # Any value near the data keeps the sums below small.
-            shift = np.where(has, x, 0.0).sum(axis=0) / np.maximum(has.sum(axis=0), 1)
-        x = np.where(has, x - shift, 0.0)
-        mask = has.astype(float)
-        first, square = x.T @ mask, (x * x).T @ mask
-        part = np.stack([mask.T @ mask, first, first.T, square, square.T, x.T @ x])
-        sums = part if sums is None else sums + part
-    if sums is None:
-        return
-    i, j = np.triu_indices(sums.shape[1])
-    n, si, sj, sii, sjj, sij = (part[i, j] for part in sums)
-    met = n > 0
-    i, j, n, si, sj, sii, sjj, sij = (v[met] for v in (i, j, n, si, sj, sii, sjj, sij))
-    moments = (n, shift[i] + si / n, shift[j] + sj / n, sii - si * si / n, sjj - sj * sj / n, sij - si * sj / n)
-    columns = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *(pa.array(m, pa.float64()) for m in moments)]
-    yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "n", "mi", "mj", "cii", "cjj", "cij"])
+
+
+def _task_moments() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Count, means and centred moments per pair, over the rows of a task that have both values.
+
+    The inner function travels to the tasks by value, so executors need no copy of this package.
+    """
+
+    def moments_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, shift = None, None
+        for batch in batches:
+            x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in batch.columns])
+            has = ~np.isnan(x)
+            if shift is None:
+                # Any value near the data keeps the sums below small.
+                shift = np.where(has, x, 0.0).sum(axis=0) / np.maximum(has.sum(axis=0), 1)
+            x -= shift
+            if has.all():
+                ones = np.ones(x.shape[1])
+                first, square = np.outer(x.sum(axis=0), ones), np.outer((x * x).sum(axis=0), ones)
+                counts = np.full((x.shape[1], x.shape[1]), float(len(x)))
+            else:
+                x[~has] = 0.0
+                mask = has.astype(float)
+                first, square, counts = x.T @ mask, (x * x).T @ mask, mask.T @ mask
+            part = np.stack([counts, first, first.T, square, square.T, x.T @ x])
+            sums = part if sums is None else sums + part
+        if sums is None:
+            return
+        i, j = np.triu_indices(sums.shape[1])
+        sums = sums[:, i, j]
+        met = sums[0] > 0
+        i, j = i[met], j[met]
+        n, si, sj, sii, sjj, sij = sums[:, met]
+        moments = (n, shift[i] + si / n, shift[j] + sj / n, sii - si * si / n, sjj - sj * sj / n, sij - si * sj / n)
+        columns = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *(pa.array(m, pa.float64()) for m in moments)]
+        yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "n", "mi", "mj", "cii", "cjj", "cij"])
+
+    return moments_of

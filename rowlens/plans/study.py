@@ -64,25 +64,33 @@ class Study:
     train_share: float = 0.8
 
 
-def join_tables(study: Study, parent: DataFrame, children: Iterable[DataFrame]) -> DataFrame:
-    """One row per combination of child rows of the same parent, as the study's unit of analysis.
+def clean_table(study: Study, table: DataFrame) -> DataFrame:
+    """What can be done before the joins: drop sparse columns, blank the sentinel, drop incomplete rows.
 
-    Columns that the study drops as sparse are gone before the joins and never shuffled.
+    Rows that cannot survive are gone before they are shuffled and multiplied.
     """
-    joined = parent.drop(*study.sparse)
+    kept = table.drop(*study.sparse)
+    blanked = clean.sentinel_to_null(kept, study.sentinel_columns, study.sentinel)
+    filled_later = {fill.column for fill in study.conditional_fills}
+    required = [
+        c for c in (*study.located_by, *study.complete) if c in kept.columns and c not in filled_later
+    ]
+    return clean.filter_not_null(blanked, required) if required else blanked
+
+
+def join_tables(study: Study, parent: DataFrame, children: Iterable[DataFrame]) -> DataFrame:
+    """One row per combination of child rows of the same parent, as the study's unit of analysis."""
+    if study.date and study.time:
+        parent = clean.add_epoch(parent, study.date, study.time, study.date)
+    joined = clean_table(study, parent)
     for child in children:
-        joined = relate.join_children(joined, child.drop(*study.sparse), study.key)
+        joined = relate.join_children(joined, clean_table(study, child), study.key)
     return joined
 
 
 def clean_rows(study: Study, joined: DataFrame) -> DataFrame:
-    """Parse dates, blank the sentinel, fill by condition, drop incomplete rows, rename."""
-    df = joined.drop(*study.sparse)
-    if study.date and study.time:
-        df = clean.add_epoch(df, study.date, study.time, study.date)
-    df = clean.sentinel_to_null(df, study.sentinel_columns, study.sentinel)
-    if study.located_by:
-        df = clean.filter_not_null(df, study.located_by)
+    """Fill by condition, drop the rows that are still incomplete, rename."""
+    df = joined
     for fill in study.conditional_fills:
         df = clean.fill_when(df, fill.column, fill.condition(), fill.value)
     if study.complete:
@@ -126,13 +134,14 @@ def index_rows(study: Study, prepared: DataFrame) -> DataFrame:
     """The model columns: ordered ones as they are, nominal ones as category indexes, and the label."""
     kept = feature_columns(study)
     nominal = [c for c in study.nominal if c in kept]
-    columns = prepared.select(*(name(c) for c in (*study.row_key, *kept) if c in prepared.columns), name(study.label))
+    wanted = dict.fromkeys([*study.row_key, *study.numeric, *kept])
+    columns = prepared.select(*(name(c) for c in wanted), name(study.label).cast("double").alias(study.label))
     return features.index_for_models(columns, nominal)
 
 
 def vectorize(study: Study, indexed: DataFrame) -> DataFrame:
     """Add the feature vector and stage the result, which every model fit reads many times."""
-    return stage(features.assemble(indexed, feature_columns(study)), "features")
+    return stage(features.assemble(indexed, feature_columns(study)), "features", study.row_key)
 
 
 def statistics(study: Study, prepared: DataFrame, indexed: DataFrame) -> dict[str, DataFrame]:

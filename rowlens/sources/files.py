@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructType
 
@@ -39,14 +41,16 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     df.write.mode(mode).parquet(path)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, balance_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Unlike a cache it outlives lost executors, and the readers after it prune
     columns, so one join and clean pass feeds every statistic that follows.
+    ``balance_by`` names key columns to spread the rows by first, into partitions
+    of a size that Spark picks at run time: worth one shuffle before many passes.
     """
     path = new_folder(df.sparkSession, name)
+    if balance_by:
+        df = df.hint("rebalance", *balance_by)
     write_parquet(df, path)
     return scan_parquet(df.sparkSession, path)
-
-
