@@ -187,8 +187,7 @@ def _running_sql(column: str, whole: str, real: str) -> str:
     ),
 )
 def cumulative_counts(t: Tables):
-    running = infogain.cumulative_counts(t.lineitem, "l_returnflag", "R", ["l_linenumber", "l_extendedprice"])
-    return running.drop("text")
+    return infogain.cumulative_counts(t.lineitem, "l_returnflag", "R", ["l_linenumber", "l_extendedprice"])
 
 
 @query(
@@ -299,8 +298,8 @@ def gain_ratio_table(t: Tables):
     return ranking(t)
 
 
-@query("select_by_gain_ratio", _RANKING + "SELECT * FROM g WHERE gain_ratio >= 0.001")
+@query("select_by_gain_ratio", f"SELECT o_orderkey, l_extendedprice, large FROM {WIDE_SQL}")
 def select_by_gain_ratio(t: Tables):
-    """The kept attributes with their scores."""
-    scores = ranking(t)
-    return scores.filter(F.col("gain_ratio") >= 0.001)
+    """The lines with only those attributes that tell something about the label."""
+    rows = lines_of_orders(t).select("o_orderkey", *NOMINAL, *ORDERED)
+    return features.select_by_gain_ratio(rows, ranking(t), 0.5).select("o_orderkey", "l_extendedprice", "large")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowlens.functions.columns import band, blank, both, name, parse_epoch, ratio, recode
+from rowlens.operators.relate import look_up
 
 
 def project(
@@ -136,13 +137,16 @@ def decode_values(df: DataFrame, codebook: Mapping[str, Mapping[str, str]]) -> D
     return df.withColumns({c: recode(name(c).cast("string"), labels) for c, labels in present.items()})
 
 
-def decode_join(df: DataFrame, column: str, dictionary: DataFrame, code: str, label: str, output: str) -> DataFrame:
+def decode_join(
+    df: DataFrame, column: str, dictionary: DataFrame, code: str, label: str, output: str, hot: Sequence[str] = ()
+) -> DataFrame:
     """Replace codes by the labels of a dictionary table, for dictionaries too long for an expression.
 
-    No broadcast hint: Spark broadcasts the dictionary by its measured size, and
-    otherwise joins by shuffle with skewed codes split at run time.
+    ``hot`` lists codes (as text) that very many rows share, for a dictionary that is
+    also too long to broadcast.
     """
     # A repeated code must not multiply rows.
     entries = dictionary.groupBy(name(code).cast("string").alias("_code")).agg(F.min(name(label)).alias("_label"))
-    joined = df.join(entries, name(column).cast("string") == F.col("_code"), "left")
-    return joined.withColumn(output, F.coalesce("_label", name(column).cast("string"))).drop("_code", "_label")
+    labelled = look_up(df.withColumn("_code", name(column).cast("string")), entries, "_code", hot)
+    kept = [name(c) for c in df.columns if c != output]
+    return labelled.select(*kept, F.coalesce("_label", "_code").alias(output))

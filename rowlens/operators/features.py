@@ -11,39 +11,45 @@ from pyspark.sql import functions as F
 from rowlens.functions.columns import name
 from rowlens.operators.ordered import in_blocks, running_totals
 from rowlens.operators.profile import category_counts
-from rowlens.session import pin
+from rowlens.operators.relate import look_up
+from rowlens.sources.files import stage
 
 
 def string_index_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(attribute, value, n, index): rank of each value by descending count, ties by value.
+    """(attribute, value, n, total, index): rank of each value by descending count, ties by value.
 
     All columns share one scan. The ranking is distributed, so a column may have any
     number of values; null gets no index.
     """
     order = [F.col("n").desc(), F.col("value").asc()]
     counts = category_counts(df, columns).filter(F.col("value").isNotNull()).withColumn("one", F.lit(1).cast("bigint"))
-    ranked = running_totals(in_blocks(counts, ["attribute"], order), ["attribute"], order, ["one"])
-    return ranked.select("attribute", "value", "n", (F.col("cum_one") - 1).cast("double").alias("index"))
+    ranked = running_totals(in_blocks(counts, ["attribute"], order), ["attribute"], order, ["one", "n"])
+    index = (F.col("cum_one") - 1).cast("double")
+    return ranked.select("attribute", "value", "n", F.col("all_n").alias("total"), index.alias("index"))
 
 
-def apply_index(df: DataFrame, table: DataFrame, columns: Sequence[str]) -> DataFrame:
+def apply_index(df: DataFrame, table: DataFrame, columns: Sequence[str], hot_share: float = 0.01) -> DataFrame:
     """Replace each column by its index from :func:`string_index_table`.
 
     The table is kept once, so that the ranking does not run again for each column.
-    Spark broadcasts a mapping when its measured size allows; a longer one is joined
-    by shuffle, where the run-time skew split divides a value that many rows share.
+    Its counts tell which values more than ``hot_share`` of the rows have; the rows
+    of these few are divided over tasks in a join that cannot be broadcast.
     """
-    encoded, kept = df, pin(table)
+    kept = stage(table, "index")
+    # No more than 1 / hot_share values per column can have such a share.
+    hot = kept.filter(F.col("n") > F.col("total") * hot_share).select("attribute", "value").collect()
+    encoded = df
     for c in columns:
         mapping = kept.filter(F.col("attribute") == F.lit(c)).select(
             F.col("value").alias("_value"), F.col("index").alias("_index")
         )
-        encoded = encoded.join(mapping, name(c).cast("string") == F.col("_value"), "left")
-        encoded = encoded.select(*(F.col("_index").alias(c) if x == c else name(x) for x in df.columns))
+        keyed = encoded.withColumn("_value", name(c).cast("string"))
+        found = look_up(keyed, mapping, "_value", [row.value for row in hot if row.attribute == c])
+        encoded = found.select(*(F.col("_index").alias(c) if x == c else name(x) for x in df.columns))
     return encoded
 
 
-def index_for_models(df: DataFrame, columns: Sequence[str], max_values: int = 10_000) -> DataFrame:
+def index_for_models(df: DataFrame, columns: Sequence[str], max_values: int = 1_000) -> DataFrame:
     """Replace nominal columns by category indexes that carry the label list for tree models.
 
     The label lists come from one scan over all columns. A model holds every label,
@@ -53,14 +59,14 @@ def index_for_models(df: DataFrame, columns: Sequence[str], max_values: int = 10
     columns = list(columns)
     if not columns:
         return df
-    table = pin(string_index_table(df, columns))
-    sizes = {row.attribute: row.n for row in table.groupBy("attribute").agg(F.count("index").alias("n")).collect()}
-    wide = [c for c in columns if sizes.get(c, 0) > max_values]
+    # One row more than all columns may have together shows that there are too many.
+    counts = category_counts(df, columns).filter(F.col("value").isNotNull())
+    rows = counts.limit(len(columns) * max_values + 1).collect()
+    found = {c: sorted((-row.n, row.value) for row in rows if row.attribute == c) for c in columns}
+    wide = [c for c, values in found.items() if len(values) > max_values]
     if wide:
         raise ValueError(f"too many values for a model's category index: {wide}")
-    labels: dict[str, list[str]] = {c: [] for c in columns}
-    for row in table.orderBy("attribute", "index").collect():
-        labels[row.attribute].append(row.value)
+    labels = {c: [value for _, value in values] for c, values in found.items()}
     # The model reads column names as expressions, so odd names are replaced meanwhile.
     inputs = {c: f"_in_{i}" for i, c in enumerate(columns)}
     outputs = {c: f"_out_{i}" for i, c in enumerate(columns)}

@@ -14,6 +14,7 @@ Rows in which the attribute or the label is null do not count for that attribute
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,10 +26,8 @@ from rowlens.operators.profile import category_counts
 
 
 def _whole(df: DataFrame, column: str) -> Column:
-    """An order-preserving bigint for integer, date and time columns, else null."""
+    """An order-preserving bigint of an integer, date or time column."""
     dtype = df.schema[column].dataType
-    if isinstance(dtype, T.IntegralType):
-        return name(column).cast("bigint")
     if isinstance(dtype, T.DateType):
         return F.unix_date(name(column)).cast("bigint")
     if isinstance(dtype, T.TimestampNTZType):
@@ -36,13 +35,24 @@ def _whole(df: DataFrame, column: str) -> Column:
         return F.timestamp_diff("MICROSECOND", start, name(column))
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(name(column))
-    return F.lit(None).cast("bigint")
+    return name(column).cast("bigint")
 
 
-def _real(df: DataFrame, column: str) -> Column:
-    if isinstance(df.schema[column].dataType, (T.IntegralType, T.DatetimeType)):
-        return F.lit(None).cast("double")
-    return name(column).cast("double")
+#: The column that holds a value: exact integers and times, other numbers, or text.
+_KINDS = {"whole": "bigint", "real": "double", "text": "string"}
+
+
+def _kind(df: DataFrame, column: str, ordered: bool) -> str:
+    if not ordered:
+        return "text"
+    whole = isinstance(df.schema[column].dataType, (T.IntegralType, T.DatetimeType))
+    return "whole" if whole else "real"
+
+
+def _cell(df: DataFrame, column: str, kind: str) -> Column:
+    if kind == "whole":
+        return _whole(df, column)
+    return name(column).cast(_KINDS[kind])
 
 
 def label_counts(
@@ -55,40 +65,41 @@ def label_counts(
 ) -> DataFrame:
     """Rows n and positives t per attribute and value, for all attributes in one scan.
 
-    A nominal value is in ``text``; an ordered one in ``whole`` (integers, dates,
-    times) or ``real`` and keeps its type, so no digit is lost. Rows without a value
-    stay as one row of n = 0, so that an attribute without any value is still listed.
+    ``attribute`` is the position in (*nominal, *ordered). The value is in the one of
+    ``whole``, ``real`` and ``text`` that fits its type, so no digit is lost; of these
+    only the columns in use exist. Rows without a value stay as one row of n = 0, so
+    that an attribute without any value is still listed.
     """
-    nulls = {"whole": F.lit(None).cast("bigint"), "real": F.lit(None).cast("double"), "text": F.lit(None).cast("string")}
+    columns = [(c, _kind(df, c, i >= len(nominal))) for i, c in enumerate((*nominal, *ordered))]
+    used = [kind for kind in _KINDS if any(k == kind for _, k in columns)]
     cells = []
-    for c in nominal:
-        cells += [F.lit(c), nulls["whole"], nulls["real"], name(c).cast("string")]
-    for c in ordered:
-        cells += [F.lit(c), _whole(df, c), _real(df, c), nulls["text"]]
-    is_positive = equals(label, positive)
+    for i, (c, kind) in enumerate(columns):
+        cells.append(F.lit(i))
+        cells += [_cell(df, c, k) if k == kind else F.lit(None).cast(_KINDS[k]) for k in used]
     kept = [name(weight).alias("_w")] if weight else []
-    long = (
-        df.filter(name(label).isNotNull())
-        .select(
-            is_positive.alias("_y"),
-            *kept,
-            F.stack(F.lit(len(nominal) + len(ordered)), *cells).alias("attribute", "whole", "real", "text"),
-        )
+    long = df.filter(name(label).isNotNull()).select(
+        equals(label, positive).alias("_y"), *kept, F.stack(F.lit(len(columns)), *cells).alias("attribute", *used)
     )
-    present = F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("text").isNotNull()
+    present = reduce(lambda left, right: left | right, [F.col(k).isNotNull() for k in used])
     each = F.col("_w") if weight else F.lit(1)
-    return long.groupBy("attribute", "whole", "real", "text").agg(
+    return long.groupBy("attribute", *used).agg(
         F.sum(F.when(present, each).otherwise(0)).cast("bigint").alias("n"),
         F.sum(F.when(present & F.col("_y"), each).otherwise(0)).cast("bigint").alias("t"),
     )
 
 
+def _named(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Positions back to attribute names."""
+    names = F.array(*(F.lit(c) for c in columns))
+    return df.withColumn("attribute", names[F.col("attribute")])
+
+
 def label_counts_by_value(
     df: DataFrame, label: str, positive: object, columns: Sequence[str], weight: str | None = None
 ) -> DataFrame:
     """(attribute, value, n, n_true, n_false) per value of each column."""
     counts = label_counts(df, label, positive, nominal=columns, weight=weight).filter("n > 0")
-    return counts.select(
+    return _named(counts, columns).select(
         "attribute", F.col("text").alias("value"), "n", F.col("t").alias("n_true"), (F.col("n") - F.col("t")).alias("n_false")
     )
 
@@ -138,22 +149,36 @@ def gain_ratio_nominal(
     df: DataFrame, label: str, positive: object, columns: Sequence[str], weight: str | None = None
 ) -> DataFrame:
     """Conditional entropy, information gain, split information and gain ratio of nominal columns."""
-    return _nominal_scores(label_counts(df, label, positive, nominal=columns, weight=weight))
-
-
-def _order() -> list[Column]:
-    return [F.col("whole"), F.col("real"), F.col("text")]
+    return _named(_nominal_scores(label_counts(df, label, positive, nominal=columns, weight=weight)), columns)
 
 
 def cumulative_counts(
     df: DataFrame, label: str, positive: object, columns: Sequence[str], weight: str | None = None
 ) -> DataFrame:
-    """Counts per ordered value with their running sums: n, t, cum_n, cum_t, all_n, all_t."""
-    return _running(label_counts(df, label, positive, ordered=columns, weight=weight)).filter("n > 0")
+    """Counts per ordered value with their running sums: n, t, cum_n, cum_t, all_n, all_t.
+
+    The value is in ``whole`` (integers, dates, times) or ``real``.
+    """
+    running = _running(_blocks(label_counts(df, label, positive, ordered=columns, weight=weight)))
+    filled = [F.col(k) if k in running.columns else F.lit(None).cast(_KINDS[k]).alias(k) for k in ("whole", "real")]
+    sums = ("n", "t", "cum_n", "cum_t", "all_n", "all_t")
+    return _named(running.filter("n > 0").select("attribute", *filled, *sums), columns)
+
+
+def _order(counts: DataFrame) -> list[Column]:
+    return [F.col(k) for k in _KINDS if k in counts.columns]
+
+
+def _blocks(counts: DataFrame) -> DataFrame:
+    return in_blocks(counts, ["attribute"], _order(counts))
+
+
+def _running(blocks: DataFrame) -> DataFrame:
+    return running_totals(blocks, ["attribute"], _order(blocks), ["n", "t"])
 
 
-def _running(counts: DataFrame) -> DataFrame:
-    return running_totals(in_blocks(counts, ["attribute"], _order()), ["attribute"], _order(), ["n", "t"])
+def _best_threshold(blocks: DataFrame) -> DataFrame:
+    return _thresholds(_running(blocks)).groupBy("attribute").agg(F.max("gain_ratio").alias("gain_ratio"))
 
 
 def _thresholds(running: DataFrame) -> DataFrame:
@@ -169,8 +194,8 @@ def gain_ratio_threshold(
     df: DataFrame, label: str, positive: object, columns: Sequence[str], weight: str | None = None
 ) -> DataFrame:
     """Best gain ratio of each ordered column over all thresholds; null for a single value."""
-    running = _running(label_counts(df, label, positive, ordered=columns, weight=weight))
-    return _thresholds(running).groupBy("attribute").agg(F.max("gain_ratio").alias("gain_ratio"))
+    counts = label_counts(df, label, positive, ordered=columns, weight=weight)
+    return _named(_best_threshold(_blocks(counts)), columns)
 
 
 def gain_ratio_table(
@@ -191,12 +216,12 @@ def gain_ratio_table(
     if not ordered:
         scores = _nominal_scores(counts).select("attribute", "gain_ratio")
     else:
-        blocks = in_blocks(counts, ["attribute"], _order())
-        is_ordered = F.col("attribute").isin(*ordered)
-        running = running_totals(blocks.filter(is_ordered), ["attribute"], _order(), ["n", "t"])
-        scores = _thresholds(running).groupBy("attribute").agg(F.max("gain_ratio").alias("gain_ratio"))
+        blocks = _blocks(counts)
+        is_ordered = F.col("attribute") >= len(nominal)
+        scores = _best_threshold(blocks.filter(is_ordered))
         if nominal:
             scores = scores.unionByName(_nominal_scores(blocks.filter(~is_ordered)).select("attribute", "gain_ratio"))
+    scores = _named(scores, [*nominal, *ordered])
     if digits is not None:
         scores = scores.withColumn("gain_ratio", F.round("gain_ratio", digits))
     return scores.orderBy(F.col("gain_ratio").desc_nulls_last(), "attribute")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rowlens.session import pin
+from rowlens.sources.files import stage
 
 _BLOCK = "_block"
 
@@ -16,11 +16,11 @@ _BLOCK = "_block"
 def in_blocks(table: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Range-partition ``table`` by (by, order) and number the ranges.
 
-    The result is written to reliable storage, because a range partitioner samples:
+    The result is a table in the shared folder, because a range partitioner samples:
     a second run of the same plan could cut the ranges elsewhere.
     """
     ranged = table.repartitionByRange(*(F.col(c) for c in by), *order)
-    return pin(ranged.withColumn(_BLOCK, F.spark_partition_id()))
+    return stage(ranged.withColumn(_BLOCK, F.spark_partition_id()), "ranges")
 
 
 def running_totals(

@@ -25,6 +25,18 @@ def hot_keys(df: DataFrame, key: str, limit: int = 100) -> list:
     return [item["item"] for item in top or [] if item["item"] is not None and item["count"] * limit >= total]
 
 
+def _salted(keyed: DataFrame, rows: DataFrame, key: str, hot: Sequence, splits: int) -> tuple[DataFrame, DataFrame]:
+    """Spread the rows of hot keys and copy their entries in ``keyed`` to each spread.
+
+    The salt is the partition in which a row was read, which a re-run task repeats
+    exactly. Rows without a key match nothing and are spread as well.
+    """
+    is_hot = name(key).isin(list(hot)) if hot else F.lit(False)
+    spread = F.when(is_hot | name(key).isNull(), F.pmod(F.spark_partition_id(), F.lit(splits))).otherwise(F.lit(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
+    return keyed.withColumn(_SALT, F.explode(copies)), rows.withColumn(_SALT, spread.cast("int"))
+
+
 def join_children(
     parent: DataFrame,
     child: DataFrame,
@@ -34,19 +46,24 @@ def join_children(
 ) -> DataFrame:
     """Inner join on ``key``; the key column appears once.
 
-    Rows of a hot key are spread over ``splits`` partitions by the partition they
-    were read in, which a re-run task repeats exactly, and the matching parent rows
-    are copied to each of them. ``hot=None`` finds the hot keys of the child.
+    The rows of a hot key are divided over ``splits`` tasks. ``hot=None`` finds the
+    hot keys of the child.
     """
     hot = hot_keys(child, key) if hot is None else list(hot)
     if not hot:
         return parent.join(child, key)
-    is_hot = name(key).isin(hot)
-    spread = F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(splits))).otherwise(F.lit(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
-    salted_child = child.withColumn(_SALT, spread.cast("int"))
-    salted_parent = parent.withColumn(_SALT, F.explode(copies))
-    return salted_parent.join(salted_child, [key, _SALT]).drop(_SALT)
+    keyed, rows = _salted(parent, child, key, hot, splits)
+    return keyed.join(rows, [key, _SALT]).drop(_SALT)
+
+
+def look_up(rows: DataFrame, table: DataFrame, key: str, hot: Sequence = (), splits: int = SPLITS) -> DataFrame:
+    """Every row with the columns of the entry of ``table`` that has its key, or nulls.
+
+    The table has one entry per key. Spark broadcasts it when its measured size
+    allows; otherwise rows of hot keys and rows without a key are divided over tasks.
+    """
+    keyed, spread = _salted(table, rows, key, hot, splits)
+    return spread.join(keyed, [key, _SALT], "left").drop(_SALT)
 
 
 def key_counts(df: DataFrame, key: str, output: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -47,9 +47,3 @@ def shared_dir(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_dir(spark).rstrip('/')}/rowlens/{name}-{uuid.uuid4().hex}"
-
-
-def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and cut its lineage: later reads see the same rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

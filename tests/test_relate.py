@@ -47,3 +47,15 @@ def test_weights_give_the_frequencies_of_the_pairs(spark):
         expected = {(r.value, r.n) for r in profile.category_counts(pairs, [column]).collect()}
         found = {(r.value, r.n) for r in profile.category_counts(weighted[name], [column], "weight").collect()}
         assert found == expected
+
+
+def test_look_up_with_hot_and_missing_keys(spark):
+    rows = spark.range(3000, numPartitions=5).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"), "id"
+    )
+    table = spark.createDataFrame([("hot", 1), ("4", 2), ("unused", 3)], "k string, v int")
+    plain = rows.join(table, "k", "left")
+    for hot in ((), ("hot",), ("hot", "4")):
+        found = relate.look_up(rows, table, "k", hot, splits=3)
+        assert found.columns == ["k", "id", "v"] and found.count() == 3000
+        assert found.exceptAll(plain).isEmpty()
