@@ -25,16 +25,21 @@ def hot_keys(df: DataFrame, key: str, limit: int = 100) -> list:
     return [item["item"] for item in top or [] if item["item"] is not None and item["count"] * limit >= total]
 
 
-def _salted(keyed: DataFrame, rows: DataFrame, key: str, hot: Sequence, splits: int) -> tuple[DataFrame, DataFrame]:
-    """Spread the rows of hot keys and copy their entries in ``keyed`` to each spread.
+def _salt(df: DataFrame, key: str, spread: Sequence, copied: Sequence, splits: int, spread_null: bool = False) -> DataFrame:
+    """Add the salt: rows of ``spread`` keys are divided, rows of ``copied`` keys are there once per salt.
 
-    The salt is the partition in which a row was read, which a re-run task repeats
-    exactly. Rows without a key match nothing and are spread as well.
+    The salt of a divided row is the partition in which it was read, which a re-run
+    task repeats exactly and which also divides copies of one row.
     """
-    is_hot = name(key).isin(list(hot)) if hot else F.lit(False)
-    spread = F.when(is_hot | name(key).isNull(), F.pmod(F.spark_partition_id(), F.lit(splits))).otherwise(F.lit(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
-    return keyed.withColumn(_SALT, F.explode(copies)), rows.withColumn(_SALT, spread.cast("int"))
+    divided = name(key).isin(list(spread)) if spread else F.lit(False)
+    if spread_null:
+        divided = divided | name(key).isNull()
+    salt = F.when(divided, F.pmod(F.spark_partition_id(), F.lit(splits))).otherwise(F.lit(0)).cast("int")
+    salted = df.withColumn(_SALT, salt)
+    if not copied:
+        return salted
+    every = F.sequence(F.lit(0), F.lit(splits - 1))
+    return salted.withColumn(_SALT, F.explode(F.when(name(key).isin(list(copied)), every).otherwise(F.array(_SALT))))
 
 
 def join_children(
@@ -42,18 +47,23 @@ def join_children(
     child: DataFrame,
     key: str,
     hot: Sequence | None = None,
+    hot_in_parent: Sequence = (),
     splits: int = SPLITS,
 ) -> DataFrame:
     """Inner join on ``key``; the key column appears once.
 
-    The rows of a hot key are divided over ``splits`` tasks. ``hot=None`` finds the
-    hot keys of the child.
+    The rows of a hot key are divided over ``splits`` tasks, and the rows that match
+    them on the other side are copied to each. ``hot=None`` finds the hot keys of
+    the child; ``hot_in_parent`` lists those of a parent that repeats its keys, as
+    after a join with another child.
     """
     hot = hot_keys(child, key) if hot is None else list(hot)
-    if not hot:
+    only_parent = [k for k in hot_in_parent if k not in hot]
+    if not hot and not only_parent:
         return parent.join(child, key)
-    keyed, rows = _salted(parent, child, key, hot, splits)
-    return keyed.join(rows, [key, _SALT]).drop(_SALT)
+    left = _salt(parent, key, only_parent, hot, splits)
+    right = _salt(child, key, hot, only_parent, splits)
+    return left.join(right, [key, _SALT]).drop(_SALT)
 
 
 def look_up(rows: DataFrame, table: DataFrame, key: str, hot: Sequence = (), splits: int = SPLITS) -> DataFrame:
@@ -62,8 +72,8 @@ def look_up(rows: DataFrame, table: DataFrame, key: str, hot: Sequence = (), spl
     The table has one entry per key. Spark broadcasts it when its measured size
     allows; otherwise rows of hot keys and rows without a key are divided over tasks.
     """
-    keyed, spread = _salted(table, rows, key, hot, splits)
-    return spread.join(keyed, [key, _SALT], "left").drop(_SALT)
+    left = _salt(rows, key, hot, (), splits, spread_null=True)
+    return left.join(_salt(table, key, (), hot, splits), [key, _SALT], "left").drop(_SALT)
 
 
 def key_counts(df: DataFrame, key: str, output: str) -> DataFrame:

@@ -34,6 +34,16 @@ def test_hot_keys_are_found_and_salting_changes_nothing(spark):
     assert salted.filter("k = 7").count() == 3060
 
 
+def test_a_key_that_is_hot_on_the_left_only(spark):
+    left = spark.range(900, numPartitions=5).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    right = spark.createDataFrame([(7, "a"), (7, "b"), (8, "c"), (11, "d")], "k long, r string")
+    plain = relate.join_children(left, right, "k", hot=[])
+    for hot, before in (([], [7]), ([8], [7]), ([7], [7, 11])):
+        salted = relate.join_children(left, right, "k", hot, before, splits=4)
+        assert salted.columns == plain.columns and salted.count() == plain.count()
+        assert salted.exceptAll(plain).isEmpty()
+
+
 def test_hot_text_keys(spark):
     child = spark.range(3000).select(F.when(F.col("id") < 1000, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     assert relate.hot_keys(child, "k") == ["hot"]
