@@ -48,17 +48,17 @@ def decoded_counts(
     runs once per distinct code and not once per row. Codes that share a label add up.
     """
     counts = category_counts(df, columns, weight)
-    value = F.col("value")
-    pairs = [(c, code, label) for c in columns for code, label in codebook.get(c, {}).items()]
-    if not pairs:
+    known = {c: codebook[c] for c in columns if codebook.get(c)}
+    if not known:
         return counts
-    schema = "attribute string, value string, label string"
-    entries = df.sparkSession.createDataFrame(pairs, schema)
-    return (
-        counts.join(entries, ["attribute", "value"], "left")
-        .groupBy("attribute", F.coalesce("label", value).alias("value"))
-        .agg(F.sum("n").alias("n"))
-    )
+    labels = _literal_map({c: _literal_map({k: F.lit(v) for k, v in codes.items()}) for c, codes in known.items()})
+    label = F.try_element_at(F.try_element_at(labels, F.col("attribute")), F.col("value"))
+    decoded = F.coalesce(label, F.col("value"))
+    return counts.groupBy("attribute", decoded.alias("value")).agg(F.sum("n").alias("n"))
+
+
+def _literal_map(entries: Mapping[str, Column]) -> Column:
+    return F.create_map(*(part for key, value in entries.items() for part in (F.lit(key), value)))
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
