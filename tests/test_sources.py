@@ -7,7 +7,7 @@ from rowlens.sources.files import scan_csv, scan_parquet, stage, write_csv, writ
 def test_csv_binds_by_name_and_keeps_declared_types(spark, tmp_path):
     folder = tmp_path / "t.csv"
     folder.write_text("b,clock,a (x)\n1,17:42,2.5\nbad,,\n")
-    schema = StructType().add("a (x)", "double").add("b", "int").add("clock", "string")
+    schema = StructType().add("a (x)", "double").add("b", "integer").add("clock", "string")
     rows = scan_csv(spark, str(folder), schema).collect()
     assert [tuple(r) for r in rows] == [(2.5, 1, "17:42"), (None, None, None)]
 
