@@ -146,7 +146,7 @@ def _compare(table: pa.Table, percent: int) -> pa.Table:
     comp = table.column("comp").to_numpy()
     sets = [np.array(x.values).view(np.uint64) for x in table.column("shingles")]
     sizes, sketch = np.array([len(x) for x in sets]), registers(sets)
-    left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)  # side 0: both, in a tile on the diagonal
+    left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)  # side 0: both
     linked = np.zeros((len(left), len(right)), bool)
     for low in range(0, len(left), 32):
         i = left[low : low + 32]
@@ -177,8 +177,8 @@ def near_texts(
 
     Texts with equal sets become one class. Each class has a sketch of 128 registers of 16 bits; 32 bands of 4 registers
     are the keys under which classes meet. A band's members are linked in two passes, both verified on full sets. First every
-    member is compared with the smallest, which connects most groups of copies at one row each. Then all pairs of different components
-    meet in tiles of up to 256 by 256 members, spread over tasks: pairs whose corrected estimate is near the threshold or
+    member is compared with the smallest, which connects most groups of copies at one row each. Then the members outside a band's largest
+    component meet all of the band in tiles of up to 256 by 256 members, spread over tasks: pairs whose corrected estimate is near the threshold or
     above are verified there, and a tile returns a spanning forest, never all pairs.
 
     Texts without words have no shingles and link with nothing; null keys too. Rows that share a key are merged by it. Extra columns are
@@ -217,20 +217,25 @@ def near_texts(
     homes = members.select("id").distinct().join(components(links), "id", "left").select("id", F.coalesce("component_id", "id").alias("comp"))
     homes = stage(homes, "homes")
     marked = stage(members.join(homes, "id"), "marked")
-    mixed = marked.groupBy("band", "key").agg(F.min("comp").alias("one"), F.max("comp").alias("other"))
-    mixed = mixed.where("one <> other").select("band", "key")
-    # A member of block i meets the blocks j: tiles (i, j), i <= j.
-    dealt = marked.join(mixed, ["band", "key"]).withColumn("blocks", F.ceil(F.col("n") / F.lit(TILE)).cast("int"))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "band",
-        "key",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
-        "id",
-        "comp",
+    # Of a band, only the members outside its largest component ("rows") need to meet the others: row block i, column block j.
+    parts = marked.groupBy("band", "key", "comp").agg(F.count("*").alias("m"))
+    parts = parts.groupBy("band", "key").agg(F.max_by("comp", F.struct("m", "comp")).alias("largest"), F.max("m").alias("m"), F.sum("m").alias("all"))
+    parts = parts.where("m < all")
+    blocks = lambda n: F.ceil(n / F.lit(TILE)).cast("int")
+    parts = parts.select("band", "key", "largest", blocks(F.col("all")).alias("cols"), blocks(F.col("all") - F.col("m")).alias("rows"))
+    dealt = marked.join(parts, ["band", "key"])
+    dealt = dealt.withColumns({f"own_{x}": F.pmod(F.xxhash64("id"), F.col(x)).cast("int") for x in ("rows", "cols")})
+    tile = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    as_col = F.transform(upto("rows"), lambda i: tile(i, F.col("own_cols"), 2))
+    as_row = F.transform(upto("cols"), lambda j: tile(F.col("own_rows"), j, 1))
+    both = F.concat(
+        F.array(tile(F.col("own_rows"), F.col("own_cols"), 0)),
+        F.filter(as_col, lambda t: t["i"] != F.col("own_rows")),
+        F.filter(as_row, lambda t: t["j"] != F.col("own_cols")),
     )
+    dealt = dealt.withColumn("tile", F.explode(F.when(F.col("comp") == F.col("largest"), as_col).otherwise(both)))
+    dealt = dealt.select("band", "key", "tile.i", "tile.j", "tile.side", "id", "comp")
     tiles = dealt.join(sets, "id").groupBy("band", "key", "i", "j")
     more = tiles.applyInArrow(_comparer(percent), "one long, other long")
     joined = components(more, "one", "other").withColumnRenamed("id", "comp")
