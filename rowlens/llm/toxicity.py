@@ -26,7 +26,7 @@ EVIDENCE, PURITY = 20.0, 0.8
 FUZZY = 5
 #: Words on either side within which quotation marks or a reporting word make a quotation, and words of a dense passage.
 CONTEXT, DENSE = 10, 20
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 _SLICE = 2 << 20  # bytes of text looked at at a time
 
 _OPEN, _CLOSE = "\"'“‘«„‹", "\"'”’»“›"
