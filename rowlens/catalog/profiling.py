@@ -302,4 +302,35 @@ def gain_ratio_table(t: Tables):
 def select_by_gain_ratio(t: Tables):
     """The lines with only those attributes that tell something about the label."""
     rows = lines_of_orders(t).select("o_orderkey", *NOMINAL, *ORDERED)
-    return features.select_by_gain_ratio(rows, ranking(t), 0.5).select("o_orderkey", "l_extendedprice", "large")
+    return features.select_by_gain_ratio(rows, ranking(t), 0.5)
+
+
+@query(
+    "crosstab_all",
+    "SELECT l_returnflag AS row_value, l_linestatus AS column_value, count(*) AS n FROM lineitem GROUP BY ALL",
+)
+def crosstab_all(t: Tables):
+    return profile.crosstab_all(t.lineitem, "l_returnflag", "l_linestatus")
+
+
+_GAPS = "(SELECT l_quantity AS a, CASE WHEN l_linenumber > 2 THEN l_discount END AS b, CASE WHEN l_linenumber < 0 THEN l_tax END AS c, l_extendedprice AS d FROM lineitem)"
+
+
+@query(
+    "correlation_with_gaps",
+    _union(
+        f"SELECT '{x}' AS row_attr, '{y}' AS col_attr, round(corr({x}::DOUBLE, {y}::DOUBLE), 8) AS correlation FROM {_GAPS}"
+        for x in "abcd"
+        for y in "abcd"
+    ),
+)
+def correlation_with_gaps(t: Tables):
+    """Correlations with one column that is null on some rows and one that is null on all."""
+    line = F.col("l_linenumber")
+    rows = t.lineitem.select(
+        F.col("l_quantity").alias("a"),
+        F.when(line > 2, F.col("l_discount")).alias("b"),
+        F.when(line < 0, F.col("l_tax")).alias("c"),
+        F.col("l_extendedprice").alias("d"),
+    )
+    return profile.correlation_matrix(rows, list("abcd")).withColumn("correlation", F.round("correlation", 8))

@@ -30,7 +30,11 @@ def blank(column: Column, dtype: T.DataType, sentinel: str) -> Column:
     if isinstance(dtype, T.StringType):
         return F.nullif(column, F.lit(sentinel))
     if isinstance(dtype, T.NumericType):
-        return F.nullif(column, F.lit(float(sentinel)).cast(dtype))
+        try:
+            code = float(sentinel)
+        except ValueError:  # a number is never such a text
+            return column
+        return F.nullif(column, F.lit(code).cast(dtype))
     return column
 
 
@@ -75,8 +79,8 @@ def x_log2_x(x: Column) -> Column:
 
 
 def unit_hash(seed: int, keys: Sequence[Column]) -> Column:
-    """A number in [0, 1) that depends on the seed and the key only, not on the partitioning."""
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *(key.cast("string") for key in keys)))
+    """A number in [0, 1) that depends on the seed and the key only, not on the partitioning; a null is a value in its place."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(key.cast("string"), F.lit("\x00")) for key in keys)))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(float(2**32))
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -13,10 +12,6 @@ from pyspark.sql.window import Window
 
 from rowlens.functions.columns import name
 
-#: Up to this many columns the covariances fit one compiled aggregate.
-NARROW = 6
-
-
 def row_count(weight: str | None) -> Column:
     return F.sum(name(weight)).cast("bigint") if weight else F.count(F.lit(1))
 
@@ -85,27 +80,24 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def covariance_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Sample covariance of each unordered pair of columns, over the rows that have both."""
-    if len(columns) > NARROW:
-        moments = _pair_moments(df, columns).filter("i < j")
-        value = F.when(F.col("n") > 1, F.try_divide(F.col("cij"), F.col("n") - 1))
-        a, b = _names(columns)
-        return moments.select(a.alias("attribute_a"), b.alias("attribute_b"), value.alias("covariance"))
-    pairs = list(combinations(columns, 2))
-    row = df.agg(
-        *(F.covar_samp(name(a).cast("double"), name(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(pairs))
-    )
-    stacked = [v for i, (a, b) in enumerate(pairs) for v in (F.lit(a), F.lit(b), F.col(f"p{i}"))]
-    return row.select(F.stack(F.lit(len(pairs)), *stacked).alias("attribute_a", "attribute_b", "covariance"))
+    """Sample covariance of each unordered pair of columns, over the rows that have both.
+
+    Every pair has a row: its value is null with less than two such rows, and NaN if one of them holds NaN.
+    """
+    moments = _pair_moments(df, columns).filter("i < j")
+    value = F.when(F.col("n") > 1, F.try_divide(F.col("cij"), F.col("n") - 1))
+    a, b = _names(columns)
+    return moments.select(a.alias("attribute_a"), b.alias("attribute_b"), value.alias("covariance"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair, as (row_attr, col_attr, correlation).
 
-    Each pair uses the rows that have both values; a column without variation gives null.
+    Each pair uses the rows that have both values and has a cell: null without such rows or without variation, NaN
+    if one of them holds NaN.
     """
     cii, cjj = F.col("cii"), F.col("cjj")
-    value = F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.col("cij") / (F.sqrt(cii) * F.sqrt(cjj)))
+    value = F.when((F.col("i") == F.col("j")) & ~F.isnan(cii), F.lit(1.0)).otherwise(F.try_divide(F.col("cij"), F.sqrt(cii) * F.sqrt(cjj)))
     upper = _pair_moments(df, columns).select("i", "j", F.when((cii > 0) & (cjj > 0), value).alias("correlation"))
     both_ways = F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
     cells = upper.select(F.explode(F.array_distinct(both_ways)).alias("cell"), "correlation").select("cell.*", "correlation")
@@ -130,6 +122,12 @@ def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> Dat
     )
 
 
+def crosstab_all(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Counts of all pairs of values as (row, column, n) in long form; null is a value, and absent pairs have no row."""
+    pair = (name(row).cast("string").alias("row_value"), name(column).cast("string").alias("column_value"))
+    return df.groupBy(*pair).agg(F.count(F.lit(1)).alias("n"))
+
+
 def histogram_by_group(
     df: DataFrame, value: str, group: str, groups: Sequence[str] | None = None, bins: int = 20
 ) -> DataFrame:
@@ -184,11 +182,15 @@ def _pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ten columns on, as its generated code gets too long to be compiled.
     """
     values = df.select(*(name(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)))
-    parts = values.mapInArrow(_task_moments(), _MOMENTS)
+    pairs = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(len(columns)) for j in range(i, len(columns))))
+    # A pair that no task has rows of still has its place.
+    zero = [F.lit(0.0).alias(c) for c in ("n", "mi", "mj", "cii", "cjj", "cij")]
+    every = df.sparkSession.range(1).select(F.explode(pairs).alias("pair")).select("pair.i", "pair.j", *zero)
+    parts = values.mapInArrow(_task_moments(), _MOMENTS).unionByName(every)
     pair = Window.partitionBy("i", "j")
     n = F.col("n")
-    gap_i = F.col("mi") - F.sum(n * F.col("mi")).over(pair) / F.sum(n).over(pair)
-    gap_j = F.col("mj") - F.sum(n * F.col("mj")).over(pair) / F.sum(n).over(pair)
+    gap_i = F.col("mi") - F.try_divide(F.sum(n * F.col("mi")).over(pair), F.sum(n).over(pair))
+    gap_j = F.col("mj") - F.try_divide(F.sum(n * F.col("mj")).over(pair), F.sum(n).over(pair))
     gaps = parts.select("i", "j", n, "cii", "cjj", "cij", gap_i.alias("gi"), gap_j.alias("gj"))
     return gaps.groupBy("i", "j").agg(
         F.sum("n").alias("n"),
@@ -205,10 +207,15 @@ def _task_moments() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
     """
 
     def moments_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, shift = None, None
+        sums, shift, spoilt = None, None, False
         for batch in batches:
             x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in batch.columns])
+            given = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns])
             has = ~np.isnan(x)
+            odd = (given & ~has).astype(float)  # NaN is a value, unlike null
+            if odd.any():
+                met = odd.T @ given.astype(float)
+                spoilt = (met + met.T > 0) | spoilt
             if shift is None:
                 # Any value near the data keeps the sums below small.
                 shift = np.where(has, x, 0.0).sum(axis=0) / np.maximum(has.sum(axis=0), 1)
@@ -226,11 +233,12 @@ def _task_moments() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
         if sums is None:
             return
         i, j = np.triu_indices(sums.shape[1])
-        sums = sums[:, i, j]
-        met = sums[0] > 0
-        i, j = i[met], j[met]
-        n, si, sj, sii, sjj, sij = sums[:, met]
-        moments = (n, shift[i] + si / n, shift[j] + sj / n, sii - si * si / n, sjj - sj * sj / n, sij - si * sj / n)
+        spoilt = np.broadcast_to(spoilt, sums.shape[1:])[i, j]
+        n, si, sj, sii, sjj, sij = sums[:, i, j]
+        m = np.maximum(n, 1)
+        centred = [np.where(spoilt, np.nan, c) for c in (sii - si * si / m, sjj - sj * sj / m, sij - si * sj / m)]
+        # A NaN counts as a row that both have, so that two of them are enough for a value.
+        moments = (np.where(spoilt, np.maximum(n, 2), n), shift[i] + si / m, shift[j] + sj / m, *centred)
         columns = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *(pa.array(m, pa.float64()) for m in moments)]
         yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "n", "mi", "mj", "cii", "cjj", "cij"])
 

@@ -15,9 +15,10 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType, null_value: str
 
     Only the header line is read up front: there is no inference pass over the
     data, and text such as ``17:42`` keeps its declared type. A value that does not
-    fit its type becomes null. Pruned columns are never parsed.
+    fit its type becomes null. Pruned columns are never parsed. A file of the folder whose header names other
+    columns, or the same in another order, raises an error when its rows are read.
     """
-    raw = spark.read.option("header", True).option("nullValue", null_value).csv(path)
+    raw = spark.read.option("header", True).option("enforceSchema", False).option("nullValue", null_value).csv(path)
     return raw.select(
         *(
             raw[f"`{field.name}`"].alias(field.name)

@@ -159,3 +159,25 @@ def test_weights_stand_for_rows(spark):
             first = scores
         else:
             assert [tuple(r) for r in scores] == [tuple(r) for r in first]
+
+
+def test_covariances_keep_every_pair_and_tell_nan_from_null(spark):
+    nan = float("nan")
+    rows = [(1.0, 2.0, None, nan), (2.0, 1.0, None, 1.0), (4.0, None, None, 2.0), (5.0, 7.0, None, 3.0)]
+    for extra in (1, 4):  # 5 and 8 columns: one way of computing for every width
+        columns = ["a", "b", "c", "d", *(f"e{i}" for i in range(extra))]
+        df = spark.createDataFrame([(*r, *[r[0] * i for i in range(extra)]) for r in rows], ", ".join(f"{c} double" for c in columns))
+        pairs = {(r.attribute_a, r.attribute_b): r.covariance for r in profile.covariance_pairs(df, columns).collect()}
+        assert len(pairs) == len(columns) * (len(columns) - 1) // 2
+        assert pairs["a", "b"] == pytest.approx(np.cov([1, 2, 5], [2, 1, 7])[0, 1])
+        assert pairs["a", "c"] is None and np.isnan(pairs["a", "d"])
+        cells = profile.correlation_matrix(df, columns).collect()
+        assert len(cells) == len(columns) ** 2
+        none = df.limit(0)
+        assert profile.correlation_matrix(none, columns).count() == len(columns) ** 2
+        assert {r.covariance for r in profile.covariance_pairs(none, columns).collect()} == {None}
+
+
+def test_crosstab_all_counts_every_value(spark):
+    df = spark.createDataFrame([("x", 1), ("x", 9), ("y", None), ("x", 9)], "r string, c int")
+    assert {tuple(r) for r in profile.crosstab_all(df, "r", "c").collect()} == {("x", "1", 1), ("x", "9", 2), ("y", None, 1)}

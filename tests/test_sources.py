@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql.types import StructType
 
 from rowlens.session import new_folder, shared_dir
@@ -26,3 +27,11 @@ def test_stage_uses_a_new_folder_below_the_shared_one(spark):
     assert staged.exceptAll(df).isEmpty() and staged.count() == 1000
     assert new_folder(spark, "x") != new_folder(spark, "x")
     assert new_folder(spark, "x").startswith(shared_dir(spark).rstrip("/"))
+
+
+def test_csv_with_another_order_of_columns_raises(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "two.csv").write_text("b,a\n3,30\n")
+    schema = StructType().add("a", "long").add("b", "long")
+    with pytest.raises(Exception, match="header"):
+        scan_csv(spark, str(tmp_path), schema).collect()
