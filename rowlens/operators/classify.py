@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -35,6 +37,12 @@ def estimator(kind: str, label: str, features: str = "features", **settings: obj
     return make(labelCol=label, featuresCol=features, **{**defaults, **settings})
 
 
+def known_settings(kind: str, settings: Mapping[str, object]) -> dict[str, object]:
+    """Those of ``settings`` that a kind has."""
+    has = SETTINGS[kind][0]().hasParam
+    return {key: value for key, value in settings.items() if has(key)}
+
+
 def train(df: DataFrame, kind: str, label: str, features: str = "features", **settings: object) -> Model:
     """Fit on the rows of ``df``; the label is 0.0 or 1.0."""
     return estimator(kind, label, features, **settings).fit(df.select(name(label), name(features)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rowlens.functions.columns import name
 from rowlens.operators import clean, cluster, features, infogain, profile, relate, sampling
-from rowlens.operators.classify import SETTINGS, score, train
+from rowlens.operators.classify import SETTINGS, known_settings, score, train
 from rowlens.operators.evaluate import evaluate
 from rowlens.sources.files import stage
 
@@ -178,13 +178,24 @@ def find_outliers(study: Study, vectors: DataFrame, only_numeric: bool = False)
 
 
 def evaluate_models(
-    study: Study, vectors: DataFrame, kinds: Sequence[str] = tuple(SETTINGS), positive: int = 1, **settings: object
+    study: Study,
+    vectors: DataFrame,
+    kinds: Sequence[str] = tuple(SETTINGS),
+    positive: int = 1,
+    by_kind: Mapping[str, Mapping[str, object]] | None = None,
+    **settings: object,
 ) -> DataFrame:
-    """Train each kind on the train rows and evaluate it on the test rows; one row per model."""
+    """Train each kind on the train rows and evaluate it on the test rows; one row per model.
+
+    ``settings`` go to the kinds that have them, ``by_kind`` to the kind it names. A setting that no chosen kind has is an error.
+    """
+    if unknown := [key for key in settings if not any(known_settings(kind, {key: 0}) for kind in kinds)]:
+        raise TypeError(f"no chosen model has the settings {unknown}")
     training, testing = sampling.split_hash(vectors, study.train_share, study.row_key, study.seed)
     report = None
     for kind in kinds:
-        model = train(training, kind, study.label, **settings)
+        chosen = {**known_settings(kind, settings), **(by_kind or {}).get(kind, {})}
+        model = train(training, kind, study.label, **chosen)
         scored = score(model, testing)
         if positive == 0:
             scored = scored.withColumn("score", -F.col("score"))

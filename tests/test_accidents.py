@@ -148,3 +148,7 @@ def test_numeric_outliers_and_either_positive_class(spark, raw):
     zero = study.evaluate_models(whole, vectors, ["naive_bayes"], positive=0).first()
     assert (one.tp, one.fn, one.fp, one.tn) == (zero.tn, zero.fp, zero.fn, zero.tp)
     assert one.auc == pytest.approx(zero.auc)
+    both = study.evaluate_models(whole, vectors, ["decision_tree", "naive_bayes"], by_kind={"naive_bayes": {"smoothing": 2.0}}, maxDepth=2)
+    assert [r.model for r in both.select("model").collect()] == ["decision_tree", "naive_bayes"]
+    with pytest.raises(TypeError):
+        study.evaluate_models(whole, vectors, ["naive_bayes"], maxDepth=2)
