@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from rowlens.catalog.cleaning import _band_sql
 from rowlens.catalog.profiling import LARGE_SQL, _rank_sql, with_large
 from rowlens.catalog.registry import Tables, query
-from rowlens.functions.columns import AGE_BOUNDS, band
+from rowlens.functions.columns import AGE_BOUNDS, array_distance, band
 from rowlens.operators import classify, cluster, evaluate, features, sampling
 from rowlens.operators.profile import row_count
 from rowlens.plans import study
 from rowlens.plans.study import ConditionalFill, Study
 from rowlens.sources.files import stage
 
+#: ROC areas that models of the label ``large`` must reach on the test lines.
+AUC_AT_LEAST = {**dict.fromkeys(classify.SETTINGS, 0.95), "naive_bayes": 0.85}
+
 LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
 SEED = 1234
 
@@ -48,17 +51,33 @@ def train_test_split_hash(t: Tables):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-@query("stratified_sample")
+def _expected(found, n, share):
+    """Whether a Bernoulli sample's size is within five standard deviations."""
+    return F.abs(found - n * share) <= 5 * F.sqrt(n * share * (1 - share))
+
+
+@query("stratified_sample", "SELECT l_returnflag, count(*) AS n, true AS as_expected FROM lineitem GROUP BY l_returnflag")
 def stratified_sample(t: Tables):
+    """Rows for each flag, and whether Spark's sampler kept all of a full stratum and about its share of the others."""
+    share = F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.02)
     kept = sampling.stratified_sample(t.lineitem, "l_returnflag", {"R": 1.0, "A": 0.02, "N": 0.02}, SEED)
-    return kept.groupBy("l_returnflag").agg(row_count(None).alias("n"))
+    sizes = t.lineitem.groupBy("l_returnflag").agg(row_count(None).alias("n"))
+    found = sizes.join(kept.groupBy("l_returnflag").agg(row_count(None).alias("kept")), "l_returnflag", "left")
+    return found.select("l_returnflag", "n", _expected(F.coalesce("kept", F.lit(0)), F.col("n"), share).alias("as_expected"))
 
 
-@query("random_split")
+@query(
+    "random_split",
+    """SELECT l_orderkey, count(*) AS n, sum(l_linenumber) AS lines, sum(l_partkey) AS parts,
+              true AS as_expected FROM lineitem GROUP BY l_orderkey""",
+)
 def random_split(t: Tables):
+    """Sums for each order over both parts of Spark's split, which must be those of the table, and whether the shares are as asked."""
     train, test = sampling.random_split(t.lineitem, [0.8, 0.2], SEED)
-    parts = train.select(F.lit("train").alias("part")).unionByName(test.select(F.lit("test").alias("part")))
-    return parts.groupBy("part").agg(row_count(None).alias("n"))
+    both = train.withColumn("trains", F.lit(1)).unionByName(test.withColumn("trains", F.lit(0)))
+    share = both.agg(_expected(F.sum("trains"), F.count("*"), F.lit(0.8)).alias("ok")).scalar()
+    sums = both.groupBy("l_orderkey").agg(row_count(None).alias("n"), F.sum("l_linenumber").alias("lines"), F.sum("l_partkey").alias("parts"))
+    return sums.withColumn("as_expected", share)
 
 
 def _index_sql(column: str) -> str:
@@ -91,7 +110,12 @@ def _vectors(t: Tables):
     """Lines with the label ``large``, flags as category indexes, and a feature vector."""
     rows = with_large(t.lineitem).select(*LINE_KEY, *_FEATURES, F.col("large").cast("double").alias("large"))
     indexed = features.index_for_models(rows, ["l_returnflag", "l_linestatus"])
-    return stage(features.assemble(indexed, _FEATURES), "features", LINE_KEY)
+    return features.assemble(indexed, _FEATURES)
+
+
+def _staged_vectors(t: Tables):
+    """For the many passes of a model fit."""
+    return stage(_vectors(t), "features", LINE_KEY)
 
 
 @query(
@@ -127,23 +151,33 @@ def nearest_center_distance(t: Tables):
     return scored.select(*_KEY, F.round("distance", 9).alias("distance"), "center")
 
 
-@query("kmeans_assign")
+@query("kmeans_assign", "SELECT count(*) AS n, true AS to_nearest, true AS centres_are_means FROM lineitem")
 def kmeans_assign(t: Tables):
-    """Clusters of four numeric columns of the lines."""
+    """Clusters of four numeric columns: whether every line's centre is its nearest, and every centre the mean of its lines."""
     rows = t.lineitem.select(*_KEY, "l_quantity", "l_discount", "l_tax")
     vectors = stage(features.assemble(rows, _POINT), "points", _KEY)
-    scored = cluster.assign(cluster.fit_kmeans(vectors), vectors)
-    return scored.groupBy("prediction").agg(
-        row_count(None).alias("n"), F.avg("distance").alias("mean_distance"), F.max("distance").alias("max_distance")
+    model = cluster.fit_kmeans(vectors)
+    centres = F.array(*(F.array(*(F.lit(float(v)) for v in c)) for c in model.clusterCenters()))
+    scored = cluster.assign(model, vectors).withColumn("point", vector_to_array("features"))
+    least = F.array_min(F.transform(centres, lambda centre: array_distance(F.col("point"), centre)))
+    means = F.array(*(F.avg(F.col("point")[i]) for i in range(len(_POINT))))
+    clusters = scored.groupBy("prediction").agg(
+        row_count(None).alias("n"), F.max(F.col("distance") - least).alias("beyond"), means.alias("mean")
+    )
+    moved = array_distance(F.col("mean"), centres[F.col("prediction")])
+    return clusters.agg(
+        F.sum("n").alias("n"), (F.max("beyond") <= 1e-9).alias("to_nearest"), (F.max(moved) <= 0.1).alias("centres_are_means")
     )
 
 
-@query("kmeans_outliers")
+@query("kmeans_outliers", "SELECT least(20, count(*)) AS n, true AS none_farther FROM lineitem")
 def kmeans_outliers(t: Tables):
-    """The twenty lines farthest from their centre, on all model features."""
-    vectors = _vectors(t)
+    """How many lines the report of outliers on all model features has, and whether no other line is farther from its centre."""
+    vectors = _staged_vectors(t)
     assigned = cluster.assign(cluster.fit_kmeans(vectors), vectors)
-    return cluster.outliers(assigned, ties=LINE_KEY).select(*_KEY, "prediction", "distance")
+    reported = cluster.outliers(assigned, ties=LINE_KEY).agg(row_count(None).alias("n"), F.min("distance").alias("least"))
+    farther = assigned.join(reported, F.col("distance") > F.col("least")).agg(F.count("*").alias("farther"))
+    return reported.join(farther).select("n", (F.col("farther") < F.col("n")).alias("none_farther"))
 
 
 _SCORED_SQL = f"""(SELECT {LARGE_SQL} AS large, CASE WHEN l_quantity > 30 THEN 1 ELSE 0 END AS prediction,
@@ -184,14 +218,19 @@ def auc_roc(t: Tables):
 
 
 def _classified(t: Tables, kind: str):
-    """Train on four fifths of the lines and evaluate on the rest, with the default settings."""
-    training, testing = sampling.split_hash(_vectors(t), 0.8, _KEY, SEED)
+    """Train on four fifths of the lines, by the default settings: cases in the rest, and whether the ROC area is as high as it must be."""
+    training, testing = sampling.split_hash(_staged_vectors(t), 0.8, _KEY, SEED)
     model = classify.train(training, kind, "large")
-    return evaluate.evaluate(classify.score(model, testing), "large", 1)
+    result = evaluate.evaluate(classify.score(model, testing), "large", 1)
+    cases = [(F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives")]
+    return result.select(*cases, (F.col("auc") >= AUC_AT_LEAST[kind]).alias("separates"))
+
 
+_CASES_SQL = f"""SELECT sum({LARGE_SQL})::BIGINT AS positives, sum(1 - {LARGE_SQL})::BIGINT AS negatives, true AS separates
+                 FROM lineitem WHERE {_LINE_UNIT} >= 0.8"""
 
 for _kind in classify.SETTINGS:
-    query(f"clf_{_kind}")(lambda t, kind=_kind: _classified(t, kind))
+    query(f"clf_{_kind}", _CASES_SQL)(lambda t, kind=_kind: _classified(t, kind))
 
 
 #: The test tables read as a study: orders are the parent, lines the child.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +12,7 @@ from rowlens.functions.columns import name
 from rowlens.operators.ordered import in_blocks, running_totals
 from rowlens.operators.profile import category_counts
 from rowlens.operators.relate import look_up
-from rowlens.sources.files import stage
+from rowlens.session import new_folder
 
 
 def string_index_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -29,51 +29,50 @@ def string_index_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def apply_index(df: DataFrame, table: DataFrame, columns: Sequence[str], hot_share: float = 0.01) -> DataFrame:
-    """Replace each column by its index from :func:`string_index_table`.
+    """Replace each column by its index from :func:`string_index_table`. Runs its jobs when called.
 
-    The table is kept once, so that the ranking does not run again for each column.
-    Its counts tell which values more than ``hot_share`` of the rows have; the rows
-    of these few are divided over tasks in a join that cannot be broadcast.
+    The table is staged once, a folder for each column, so that the ranking does not run again and a short list is
+    joined by its own size beside a long one. Its counts tell which values more than ``hot_share`` of the rows
+    have; the rows of these few are divided over tasks in a join that cannot be broadcast.
     """
-    kept = stage(table, "index")
+    return _encode(df, table, list(columns), hot_share)[0]
+
+
+def _encode(df: DataFrame, table: DataFrame, columns: list[str], hot_share: float = 0.01) -> tuple[DataFrame, dict[str, int]]:
+    """The rows with indexes, and the number of values of each column that has any."""
+    place = F.array_position(F.array(*(F.lit(c) for c in columns)), F.col("attribute")) - 1
+    placed = table.withColumn("_column", place.cast("int")).filter("_column >= 0")
+    path = new_folder(df.sparkSession, "index")
+    placed.write.partitionBy("_column").parquet(path)
+    kept = df.sparkSession.read.schema(placed.schema).parquet(path)
+    sizes = {columns[row["_column"]]: row.n for row in kept.groupBy("_column").agg(F.count("*").alias("n")).collect()}
     # No more than 1 / hot_share values per column can have such a share.
     hot = kept.filter(F.col("n") > F.col("total") * hot_share).select("attribute", "value").collect()
     encoded = df
-    for c in columns:
-        mapping = kept.filter(F.col("attribute") == F.lit(c)).select(
-            F.col("value").alias("_value"), F.col("index").alias("_index")
-        )
+    for at, c in enumerate(columns):
+        if c not in sizes:
+            encoded = encoded.withColumn(c, F.lit(None).cast("double"))
+            continue
+        entries = df.sparkSession.read.schema("value string, index double").parquet(f"{path}/_column={at}")
+        mapping = entries.select(F.col("value").alias("_value"), F.col("index").alias("_index"))
         keyed = encoded.withColumn("_value", name(c).cast("string"))
         found = look_up(keyed, mapping, "_value", [row.value for row in hot if row.attribute == c])
         encoded = found.select(*(F.col("_index").alias(c) if x == c else name(x) for x in df.columns))
-    return encoded
+    return encoded, sizes
 
 
-def index_for_models(df: DataFrame, columns: Sequence[str], max_values: int = 1_000) -> DataFrame:
-    """Replace nominal columns by category indexes that carry the label list for tree models.
+def index_for_models(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace nominal columns by category indexes that tree models know as such. Runs its jobs when called.
 
-    The label lists come from one scan over all columns. A model holds every label,
-    so a column with more than ``max_values`` values is refused; such a column is for
-    :func:`string_index_table`.
+    The column says how many values it has and not which, so it may have any number; a model of trees must be set to as
+    many bins. Null gets no index, and :func:`assemble` refuses it.
     """
     columns = list(columns)
     if not columns:
         return df
-    # One row more than all columns may have together shows that there are too many.
-    counts = category_counts(df, columns).filter(F.col("value").isNotNull())
-    rows = counts.limit(len(columns) * max_values + 1).collect()
-    found = {c: sorted((-row.n, row.value) for row in rows if row.attribute == c) for c in columns}
-    wide = [c for c, values in found.items() if len(values) > max_values]
-    if wide:
-        raise ValueError(f"too many values for a model's category index: {wide}")
-    labels = {c: [value for _, value in values] for c, values in found.items()}
-    # The model reads column names as expressions, so odd names are replaced meanwhile.
-    inputs = {c: f"_in_{i}" for i, c in enumerate(columns)}
-    outputs = {c: f"_out_{i}" for i, c in enumerate(columns)}
-    indexed = df.select(*(name(c).cast("string").alias(inputs[c]) if c in inputs else name(c) for c in df.columns))
-    for c in columns:
-        indexed = StringIndexerModel.from_labels(labels[c], inputs[c], outputs[c]).transform(indexed)
-    return indexed.select(*(F.col(outputs[c]).alias(c) if c in outputs else name(c) for c in df.columns))
+    encoded, sizes = _encode(df, string_index_table(df, columns), columns)
+    kinds = {c: {"ml_attr": {"type": "nominal", "name": c, "num_vals": n}} for c, n in sizes.items()}
+    return encoded.select(*(name(c).alias(c, metadata=kinds[c]) if c in kinds else name(c) for c in encoded.columns))
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowlens.functions.columns import name
+from rowlens.sources.files import stage
 
 SPLITS = 64
 _SALT = "_salt"
@@ -91,12 +92,14 @@ def fanout_weights(
     table needs no pairs: a row of one child counts once per row of the other
     children, and a parent row once per pair. The result holds each child (joined to
     its parent's columns) under its name and the parent under ``""``; weights are
-    the products of per-key counts, so no pair is ever emitted. The parent's key must be unique.
+    the products of per-key counts, so no pair is ever emitted. The parent's key must be unique. Runs a job when
+    called: the parent with its counts is staged, as every result reads it.
     """
     counted = {child: f"_n_{child}" for child in children}
     base = parent
     for child, df in children.items():
         base = base.join(key_counts(df, key, counted[child]), key)
+    base = stage(base, "fanout")
 
     def with_weight(skipped: str | None) -> DataFrame:
         product = F.lit(1).cast("bigint")

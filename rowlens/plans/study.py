@@ -104,8 +104,7 @@ def clean_rows(study: Study, joined: DataFrame) -> DataFrame:
 def fill_rows(study: Study, cleaned: DataFrame) -> DataFrame:
     """Impute, turn codes into categories and add the binary label.
 
-    The means are taken over ``cleaned``, so pass a staged table for large input:
-    otherwise its joins run once for the means and once for the rows.
+    The means are a subquery over ``cleaned``; a plan that joins runs once more for them, with no columns but theirs.
     """
     df = cleaned
     if study.mean_fills or study.band_fills:
@@ -123,8 +122,11 @@ def sample_rows(study: Study, rows: DataFrame) -> DataFrame:
 
 
 def prepare(study: Study, parent: DataFrame, children: Iterable[DataFrame]) -> DataFrame:
-    """Joined, cleaned, filled and sampled rows as a staged table."""
-    cleaned = stage(clean_rows(study, join_tables(study, parent, children)), "cleaned")
+    """Joined, cleaned, filled and sampled rows as a staged table.
+
+    Only the sample is written: it is taken in the stage that joins, and the joined pairs, of which there may be very many more, are not stored.
+    """
+    cleaned = clean_rows(study, join_tables(study, parent, children))
     return stage(sample_rows(study, fill_rows(study, cleaned)), "prepared")
 
 
