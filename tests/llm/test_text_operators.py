@@ -96,6 +96,61 @@ def words_line(rows):
     return rows[-1][1].split("\n")[0]
 
 
+def edit_distance(a, b):
+    row = np.arange(len(b) + 1)
+    chars, at = np.array(list(b)), np.arange(len(b) + 1)
+    for i, x in enumerate(a, 1):
+        new = np.concatenate([[i], np.minimum(row[1:] + 1, row[:-1] + (chars != x))])
+        row = np.minimum.accumulate(new - at) + at
+    return int(row[-1])
+
+
+def changed_lines():
+    """Lines of 1 to 200 words, and each of them with a word changed, with one left out and with typing errors."""
+    rng = np.random.default_rng(11)
+    word = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+    vocabulary, out = [word(int(n)) for n in rng.integers(2, 9, 600)], []
+    for n in [1, 2, 3, 4, 5, 8, 8, 8, 12, 20, 20, 40, 80, 200]:
+        line = [str(w) for w in rng.choice(vocabulary, n)] if n > 1 else [word(19)]
+        out.append(" ".join(line))
+        for _ in range(2):
+            k = int(rng.integers(n))
+            out += [" ".join([*line[:k], word(4), *line[k + 1 :]]), " ".join([*line[:k], *line[k + 1 :]])]
+            text = list(" ".join(line))
+            for at in rng.choice(len(text), max(1, len(text) // 40), replace=False):
+                text[at] = "q"
+            out.append("".join(text))
+    return [line for line in dict.fromkeys(out) if line.strip()]
+
+
+def test_near_lines_equal_brute_force(make):
+    rows = changed_lines()
+    joined = [" ".join(re.findall(r"[^\W_]+", line)) for line in rows]
+    home = list(range(len(rows)))
+    for b in range(len(rows)):
+        for a in range(b):
+            most = max(len(joined[a]), len(joined[b]))
+            if home[a] != home[b] and 10 * edit_distance(joined[a], joined[b]) <= most:
+                home = [min(home[a], home[b]) if h in (home[a], home[b]) else h for h in home]
+    found = lines.dedup_lines(make([(5, "\n".join(rows))])).first()
+    assert found.text.split("\n") == [rows[a] for a in sorted(set(home))]
+
+
+def test_segment_keys_find_every_short_pair(llm):
+    rng = np.random.default_rng(12)
+    pairs = []
+    for size in [9, 10, 14, 19, 20, 25, 29, 30, 35, 39] * 12:
+        one = two = "".join(rng.choice(list("ab "), size))
+        for _ in range(size // 10):
+            k = int(rng.integers(len(two)))
+            two = two[:k] + "xy"[int(rng.integers(2))] * int(rng.integers(3)) + two[k + 1 :]
+        if len(one) <= 39 and len(two) <= 39 and 10 * edit_distance(one, two) <= max(len(one), len(two)):
+            pairs.append((one, two))
+    df = llm.createDataFrame(pairs, "a string, b string")
+    kept = df.selectExpr("a", "b").select(*(lines.segment_keys(df[c]).alias(c) for c in "ab")).collect()
+    assert len(pairs) > 50 and all(set(r.a) & set(r.b) for r, (a, b) in zip(kept, pairs) if a != b)
+
+
 def test_block_keys_find_every_pair_within_three_bits(llm):
     rng = np.random.default_rng(2)
     rows = []
