@@ -12,6 +12,8 @@ from rowlens.llm.common import WORD, stage
 from rowlens.operators.ordered import in_blocks, running_totals
 
 _NO_ID = -(1 << 63)
+#: The place of a row in its source; ``_row`` numbers the rows of a staged table, so that rows equal in all else have places of their own.
+_ORDER = ["_order", "_id", "_text", "_row"]
 
 
 def word_count(text: str | Column) -> Column:
@@ -24,12 +26,13 @@ def given_key(key: str) -> Column:
     return F.when(F.col(key) != _NO_ID, F.col(key))
 
 
-def _keyed(docs: DataFrame, key: str, source: str) -> dict[str, Column]:
+def _keyed(docs: DataFrame, key: str, text: str, source: str) -> dict[str, Column]:
     ids = F.coalesce(docs[f"`{key}`"].cast("long"), F.lit(_NO_ID))
     return {
         "_id": ids,
         "_source": F.coalesce(F.concat(F.lit("s"), docs[f"`{source}`"]), F.lit("n")),  # a null source is a source of its own
         "_order": F.xxhash64(F.lit(8), ids),
+        "_text": F.xxhash64(F.lit(8), docs[f"`{text}`"]),  # rows that share a key are apart by their texts
     }
 
 
@@ -72,19 +75,22 @@ def mixture(
 
     Every row has a hash-random place in its source. Rows are range-partitioned by (source, place), so a source with a
     third of all rows is many ranges; sums within ranges and over the ranges before give each row's distributed prefix
-    sum. A source's budget buys ``whole`` epochs, and of one more the rows before (``cut_order``, ``cut_id``) and the first
-    ``part`` words of that row. Runs its jobs when called; only keys and sizes are staged.
+    sum. A source's budget buys ``whole`` epochs, and of one more the rows before the cut and the first ``part`` words of
+    the row at the cut. Runs its jobs when called; only keys, hashes and sizes are staged.
 
-    A null text has no words. A null source is a source; a null key is a key; repeated rows share one place and one fate.
+    A null text has no words. A null source is a source; a null key is a key. Rows that share a key have places by their texts;
+    of rows with the same text, too, as many are before the cut as the budget buys, whichever they are. ``cut_keep`` says how
+    many of those at the cut's key and text a mix of whole rows takes: the last one, if at least half of it is bought.
     """
     rows = stage(
         docs.select(
-            *(c.alias(n) for n, c in _keyed(docs, key, source).items()), word_count(docs[f"`{text}`"]).alias("size")
+            *(c.alias(n) for n, c in _keyed(docs, key, text, source).items()), word_count(docs[f"`{text}`"]).alias("size"), F.monotonically_increasing_id().alias("_row")
         ),
         "sizes",
     )
     sources = targets(rows.groupBy("_source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    sums = running_totals(in_blocks(rows, ["_source"], [F.col("_order"), F.col("_id")]), ["_source"], [F.col("_order"), F.col("_id")], ["size"])
+    order = [F.col(c) for c in _ORDER]
+    sums = running_totals(in_blocks(rows, ["_source"], order), ["_source"], order, ["size"])
     budget = F.round("target").cast("long")
     bought = sources.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)).withColumn(
         "_rest", budget - F.col("whole") * F.col("source_size")
@@ -93,25 +99,28 @@ def mixture(
         sums.join(bought.select("_source", "_rest"), "_source")
         .where((F.col("cum_size") - F.col("size") <= F.col("_rest")) & (F.col("_rest") < F.col("cum_size")))
         .groupBy("_source")
-        .agg(F.min(F.struct("_order", "_id", (F.col("_rest") - F.col("cum_size") + F.col("size")).alias("part"))).alias("cut"))
+        .agg(F.min(F.struct(*_ORDER, (F.col("_rest") - F.col("cum_size") + F.col("size")).alias("part"), "size")).alias("cut"))
     )
     plan = bought.join(crossing, "_source", "left").select(
         "_source",
         "source_size",
         "target",
         "whole",
-        F.col("cut._order").alias("cut_order"),
-        F.col("cut._id").alias("cut_id"),
+        *(F.col(f"cut.{c}").alias(f"cut{c}") for c in _ORDER),
         F.coalesce("cut.part", F.lit(0)).cast("long").alias("part"),
+        (F.col("cut.part") * 2 >= F.col("cut.size")).cast("long").alias("_half"),
     )
+    plan = stage(plan, "cuts")
+    ties = rows.join(plan.select("_source", *(f"cut{c}" for c in _ORDER)), "_source").where((_place(_ORDER[:-1]) == 0) & (F.col("_row") < F.col("cut_row")))
+    plan = plan.join(ties.groupBy("_source").agg(F.count("*").alias("_before")), "_source", "left")
+    plan = plan.withColumn("cut_keep", F.coalesce("_before", F.lit(0)) + F.coalesce("_half", F.lit(0))).drop("_half", "_before")
     return rows, stage(plan, "mixture")
 
 
-def _place() -> Column:
+def _place(order: Sequence[str] = _ORDER) -> Column:
     """-1 before the source's cut, 0 at it, 1 after it (or where there is none)."""
-    order, at = F.col("_order"), F.col("cut_order")
-    before = (order < at) | ((order == at) & (F.col("_id") < F.col("cut_id")))
-    return F.when(before, -1).when((order == at) & (F.col("_id") == F.col("cut_id")), 0).otherwise(1)
+    at, cut = F.struct(*order), F.struct(*(F.col(f"cut{c}").alias(c) for c in order))
+    return F.when(F.col("cut_order").isNull(), 1).when(at < cut, -1).when(at == cut, 0).otherwise(1)
 
 
 def taken_words(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -124,14 +133,18 @@ def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", sour
     """The mixed table: every row as often as the mix takes it, with the columns of ``docs``.
 
     The document at a source's cut stays whole: it is taken if at least half of it is within the budget. Texts are not
-    shuffled: the rule of a source is one row, and :func:`mixture` has the empty, null and repeated cases.
+    shuffled: the rule of a source is one row, and :func:`mixture` has the empty, null and repeated cases. Only rows with the key and
+    text of a cut are staged, as they are counted. Runs its jobs when called.
     """
     _, plan = mixture(docs, key, text, source, **settings)
     names = [docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    size = word_count(docs[f"`{text}`"])
-    rows = docs.select(*names, *(c.alias(n) for n, c in _keyed(docs, key, source).items()), size.alias("size")).join(plan, "_source")
-    half = (_place() == 0) & (F.col("part") * 2 >= F.col("size")) & (F.col("size") > 0)
-    times = F.col("whole") + F.when((_place() == -1) | half, 1).otherwise(0)
-    rows = rows.withColumn("_times", times.cast("int")).where("_times > 0")
+    rows = docs.select(*names, *(c.alias(n) for n, c in _keyed(docs, key, text, source).items())).join(plan, "_source")
+    rows = rows.withColumn("_place", _place(_ORDER[:-1]))
+    kept = [f"c{i}" for i in range(len(docs.columns))]
+    ties = rows.where("_place = 0").select(*kept, "_source", "whole", "cut_keep", F.monotonically_increasing_id().alias("_row"), F.lit(1).alias("_one"))
+    ties = running_totals(in_blocks(ties, ["_source"], [F.col("_row")]), ["_source"], [F.col("_row")], ["_one"])
+    ties = ties.select(*kept, (F.col("whole") + (F.col("cum__one") <= F.col("cut_keep")).cast("int")).cast("int").alias("_times"))
+    others = rows.where("_place <> 0").select(*kept, (F.col("whole") + (F.col("_place") == -1).cast("int")).cast("int").alias("_times"))
+    rows = others.unionByName(ties).where("_times > 0")
     rows = rows.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return rows.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))

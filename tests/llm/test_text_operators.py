@@ -241,6 +241,21 @@ def test_mixture(make, odd_rows):
     assert mixing.mix_documents(make(rows)).columns == make(rows).columns
 
 
+def test_mixture_divides_rows_that_share_a_key(make):
+    rows = [(None, f"text {i} " + "word " * (i % 7), "a") for i in range(40)] + [(None, "same words here now", "b")] * 30
+    rows += [(i, "one two three", "c") for i in range(100)] + [(9, "five words are in here", None)] * 50
+    plan_rows, plan = mixing.mixture(make(rows), weights=(3, 2, 4, 1), share=0.5)
+    taken, mixed = mixing.taken_words(plan_rows, plan).collect(), mixing.mix_documents(make(rows), weights=(3, 2, 4, 1), share=0.5).collect()
+    for s in ("a", "b", "c", None):
+        mine = [r for r in taken if r._source == ("n" if s is None else "s" + s)]
+        assert len(mine) == sum(r[2] == s for r in rows) and mine[0].target > 0
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 0.5
+        whole = mine[0].whole
+        assert sum(0 < r.taken - whole * r["size"] < r["size"] for r in mine) <= 1
+        got = sum(len(words(r.text)) for r in mixed if r.source == s)
+        assert abs(got - mine[0].target) <= max(r["size"] for r in mine) / 2 + 1
+
+
 def test_lexicon_automaton_equals_edit_distance():
     def distance(a, b):
         row = list(range(len(b) + 1))
