@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowlens.llm import embeddings, hnsw, lines, minhash, mixing, packing, sharding, substring, tokencount, toxicity
-from rowlens.llm.common import prepare
+from rowlens.llm import embeddings, hnsw, lines, minhash, mixing, packing, runs, sharding, substring, tokencount, toxicity
+from rowlens.llm.common import WORD, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +64,30 @@ def embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_vectors(_table(spark, folder, "embeddings"), least=0.95)
 
 
+def with_periodic_ends(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents, by a hash of doc_id, the words from one place on repeat those at that place."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    # Formed once a row: a lambda would form it again for each of its words.
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.explode(F.array(words)).alias("words"))
+    rows = rows.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    source = lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(F.transform("words", source), " ")).otherwise(F.col("text")).alias("text"))
+
+
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(with_periodic_ends(_table(spark, folder, "documents").select("doc_id", "text")), shortest=12)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    rows = found.select("doc_id", "runs", longest.alias("longest"), F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), "collapsed")
+    length, period = F.col("longest.length"), -F.col("longest.period")
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"), "runs_sha256", F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": substring_dedup,
     "op2_minhash_dedup": minhash_dedup,
@@ -75,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op8_source_mix": source_mix,
     "op9_packed_sequences": packed_sequences,
     "op10_embedding_dedup": embedding_dedup,
+    "op11_periodic_runs": periodic_runs,
 }
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -83,6 +108,15 @@ _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvw
 _REACH = """reach(id, other) AS (
     SELECT id, id FROM nodes UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.other)"""
 
+#: crc32 of the decimal digits of doc_id, as h, beside the other columns of documents.
+_HASHED = """steps AS (
+    SELECT range AS b, range::BIGINT AS c, 0 AS k FROM range(256)
+    UNION ALL SELECT b, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), k + 1 FROM steps WHERE k < 8),
+    bytes AS (SELECT list(c ORDER BY b) AS byte FROM steps WHERE k = 8),
+    hashed AS (
+        SELECT documents.*, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+            lambda c, x: xor(c >> 8, byte[(xor(c, x) & 255) + 1]))) AS h FROM documents, bytes)"""
+
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": f"""
         WITH texts AS (SELECT doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
@@ -120,4 +154,28 @@ ORACLES: dict[str, str] = {
         SELECT id AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, id = component_id AS kept
         FROM (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
         LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) ON a = id""",
+    # Six consecutive pairs of equal words at one distance, at least, are in every run of twelve words or more.
+    "op11_periodic_runs": f"""
+        WITH RECURSIVE {_HASHED},
+        plain AS (SELECT doc_id, h, h // 10 AS g, coalesce({_WORDS.format("text")}, []) AS w FROM hashed),
+        placed AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN g % len(w) END AS a FROM plain),
+        texts AS (
+            SELECT doc_id, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) END AS w
+            FROM (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM placed)),
+        grams AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 6], ' ') AS s FROM (SELECT doc_id, w, unnest(range(0, len(w) - 5)) AS i FROM texts)),
+        pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS d FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i),
+        islands AS (
+            SELECT doc_id, d, min(i) AS start, max(i) - min(i) + 6 + d AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS island FROM pairs) GROUP BY doc_id, d, island),
+        runs AS (SELECT doc_id, start, length, min(d) AS period FROM islands WHERE length >= greatest(12, 2 * d) GROUP BY doc_id, start, length),
+        digests AS (
+            SELECT doc_id, count(*) AS n_runs, first({{'s': start, 'l': length, 'p': period}} ORDER BY length DESC, start, period) AS best,
+                string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM runs GROUP BY doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS place FROM runs),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS body
+            FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS place FROM texts) ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period, 1000 * best.l // best.p AS exponent_milli,
+            sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+        FROM texts LEFT JOIN digests USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }

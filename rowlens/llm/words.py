@@ -1,8 +1,9 @@
 """Words and word sequences of many texts at once, as numpy arrays over the bytes of an Arrow batch.
 
 A word is a maximal run of bytes other than 0x20 and 0x09-0x0D, that is what ``bytes.split()`` gives. Words and sequences are
-compared by 64-bit hashes: polynomials over the bytes (or over the words' hashes), then mixed. Two given different
-words share a hash with a chance of about 2**-60.
+compared by 64-bit hashes. A word's is the sum of random numbers, one drawn for each pair of a place and a byte (tabulation), then
+mixed; two given different words of up to 64 bytes share it for one draw of the numbers in 2**64. Longer words have xxh3. A sequence's
+hash is mixed each time that two parts are joined, so that no pattern of words cancels out.
 """
 
 from __future__ import annotations
@@ -13,25 +14,15 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-SLICE = 1 << 20  # bytes hashed at a time; it bounds memory, not what is read
+SLICE = 1 << 18  # words hashed at a time; it bounds memory, not what is read
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_BASE = 0x9E3779B97F4A7C15 | 1
 _SEQUENCE = np.uint64(0xD6E8FEB86659FD93)
-_powers: list[np.ndarray] = []
-
-
-def _power_tables() -> list[np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2**64."""
-    if not _powers:
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            table = np.full(SLICE, base, np.uint64)
-            table[0] = 1
-            _powers.append(np.multiply.accumulate(table))
-    return _powers
+_PLACES = 64
+_TABLE = np.random.Generator(np.random.PCG64(0x9E3779B97F4A7C15)).integers(0, 1 << 64, (_PLACES, 256), np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -52,22 +43,19 @@ class Words:
     def hashes(self, lower: bool = False) -> np.ndarray:
         """A hash for each word; with ``lower``, A-Z count as a-z."""
         out = np.zeros(len(self.start), np.uint64)
-        power, inverse = _power_tables()
         data = _LOWER[self.data] if lower else self.data
-        i = 0
-        while i < len(out):
-            low = self.start[i]
-            j = int(np.searchsorted(self.end, low + SLICE, "right"))
-            if j == i:  # a word longer than a slice
-                out[i] = xxhash.xxh3_64_intdigest(data[low : self.end[i]].tobytes())
-                i += 1
-                continue
-            total = np.zeros(self.end[j - 1] - low + 1, np.uint64)
-            np.cumsum((data[low : self.end[j - 1]].astype(np.uint64) + np.uint64(1)) * power[: len(total) - 1], out=total[1:])
-            at, to = self.start[i:j] - low, self.end[i:j] - low
-            out[i:j] = (total[to] - total[at]) * inverse[at] + (to - at).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-            i = j
-        return mix(out)
+        size = self.end - self.start
+        for low in range(0, len(out), SLICE):
+            part = np.minimum(size[low : low + SLICE], _PLACES).astype(np.uint8)
+            longest_first = np.argsort(~part, kind="stable")
+            start, total = self.start[low : low + SLICE][longest_first], np.zeros(len(part), np.uint64)
+            longer = len(part) - np.cumsum(np.bincount(part, minlength=_PLACES + 1))  # words of more bytes than each place
+            for place, n in enumerate(longer[:_PLACES].tolist()):
+                total[:n] += _TABLE[place][data[start[:n] + place]]
+            out[low : low + SLICE][longest_first] = mix(total)
+        for i in np.flatnonzero(size > _PLACES).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(data[self.start[i] : self.end[i]].tobytes())
+        return out
 
 
 def words_of(texts: pa.Array) -> Words:
@@ -102,19 +90,18 @@ def sequences(hashes: np.ndarray, n: int) -> np.ndarray:
     """A hash for each run of ``n`` consecutive entries (len - n + 1 of them), by doubling."""
     if len(hashes) < n:
         return np.zeros(0, np.uint64)
-    out, have, power = None, 0, np.uint64(1)  # power: of the sequence base to the block's length
-    block, length, base = hashes, 1, _SEQUENCE
+    out, have = None, 0
+    block, length = hashes, 1
     size = len(hashes) - n + 1
-    with np.errstate(over="ignore"):
-        while True:
-            if n & length:
-                part = block[have : have + size]
-                out = part.copy() if out is None else out * base + part
-                have += length
-            if length * 2 > n:
-                return mix(out)
-            block = block[:-length] * base + block[length:]
-            base, length = base * base, length * 2
+    while True:
+        if n & length:
+            part = block[have : have + size]
+            out = part if out is None else mix(out * _SEQUENCE + part)
+            have += length
+        if length * 2 > n:
+            return mix(out)
+        block = mix(block[:-length] * _SEQUENCE + block[length:])
+        length *= 2
 
 
 def whole(first: np.ndarray, n: int) -> np.ndarray:
