@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowlens.llm import embeddings, hnsw, lines, minhash, mixing, packing, runs, sharding, substring, tokencount, toxicity
+from rowlens.llm import credentials, embeddings, hnsw, lines, minhash, mixing, packing, runs, sharding, substring, tokencount, toxicity
 from rowlens.llm.common import WORD, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,16 @@ def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = credentials.find_secrets(_table(spark, folder, "documents"), repository="doc_id", owner="source")
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    number = lambda field, value: F.size(F.filter(base, lambda s: s[field] == value)).cast("long").alias(f"n_{value}")
+    counts = [number("kind", kind) for kind in credentials.KINDS[:3]]
+    verdicts = [number("verdict", verdict) for verdict in ("copied", "live")]
+    return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written("spans").alias("spans"), *verdicts)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": substring_dedup,
     "op2_minhash_dedup": minhash_dedup,
@@ -100,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op9_packed_sequences": packed_sequences,
     "op10_embedding_dedup": embedding_dedup,
     "op11_periodic_runs": periodic_runs,
+    "op12_secret_scan": secret_scan,
 }
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -117,6 +128,21 @@ _HASHED = """steps AS (
         SELECT documents.*, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
             lambda c, x: xor(c >> 8, byte[(xor(c, x) & 255) + 1]))) AS h FROM documents, bytes)"""
 
+def _marked(kind: str, order: int, pattern: str, value: str, least: int) -> str:
+    """Matches of a pattern in documents: each is put between two marks, and lengths of what lies between give its place."""
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT doc_id, source, '{kind}' AS kind, {order} AS ord, before AS start, before + length(m) AS "end", {value.format(f"'{quoted}'")} AS v FROM (
+            SELECT doc_id, source, part, split_part(part, chr(2), 1) AS m, sum(length(replace(part, chr(2), ''))) OVER w AS before
+            FROM (SELECT doc_id, source, unnest(parts) AS part, unnest(range(len(parts))) AS i
+                  FROM (SELECT doc_id, source, string_split(regexp_replace(coalesce(text, ''), '({quoted})', chr(1) || '\\1' || chr(2), 'g'), chr(1)) AS parts FROM documents))
+            WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE contains(part, chr(2)) AND length(v) >= {least}"""
+
+
+_KEYWORDS = "|".join("".join(f"[{c.upper()}{c}]" for c in word) for word in ("password", "passwd", "secret", "token", "api")) + "_?[Kk][Ee][Yy]"
+_ASSIGNED = rf"""(?:{_KEYWORDS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+_BARE = "[A-Za-z0-9+/_.=-]{12,}"
+
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": f"""
         WITH texts AS (SELECT doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
@@ -178,4 +204,28 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period, 1000 * best.l // best.p AS exponent_milli,
             sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
         FROM texts LEFT JOIN digests USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op12_secret_scan": f"""
+        WITH base AS (
+            {_marked("assign", 0, _ASSIGNED, "regexp_extract(m, {}, 1)", 12)}
+            UNION ALL {_marked("access", 1, "AKIA[A-Z0-9]+", "m", 18)}
+            UNION ALL {_marked("hex", 2, "[0-9a-f]+", "m", 16)}),
+        bare AS ({_marked("token", 3, _BARE, "m", 12)}),
+        outside AS (
+            SELECT * FROM bare WHERE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
+            AND NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = bare.doc_id AND base.start < bare."end" AND base."end" > bare.start)),
+        found AS (SELECT *, true AS is_base FROM base UNION ALL SELECT *, false FROM outside),
+        hands AS (SELECT v, count(DISTINCT coalesce(source, chr(0))) AS owners, bool_or(is_base) AS known FROM found GROUP BY v),
+        told AS (
+            SELECT found.*, owners, len(list_distinct(string_split(v, ''))) AS varied FROM found JOIN hands USING (v)
+            WHERE is_base OR owners = 1 AND (known OR length(v) >= 20 AND len(list_distinct(string_split(v, ''))) >= 10
+                AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]'))),
+        spans AS (
+            SELECT doc_id, count_if(kind = 'assign') AS n_assign, count_if(kind = 'access') AS n_access, count_if(kind = 'hex') AS n_hex,
+                string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, ord) FILTER (is_base) AS base,
+                string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, ord) AS spans,
+                count_if(is_base AND owners >= 3) AS n_copied, count_if(is_base AND owners = 1 AND varied >= 8) AS n_live
+            FROM told GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+            sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_copied, 0)::BIGINT AS n_copied, coalesce(n_live, 0)::BIGINT AS n_live
+        FROM documents LEFT JOIN spans USING (doc_id)""",
 }
