@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowlens.llm import credentials, embeddings, hnsw, lines, minhash, mixing, packing, runs, sharding, substring, tokencount, toxicity
+from rowlens.llm import audit, credentials, embeddings, hnsw, lines, minhash, mixing, packing, runs, sharding, substring, tokencount, toxicity
 from rowlens.llm.common import WORD, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,11 @@ def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written("spans").alias("spans"), *verdicts)
 
 
+def filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    masks = audit.failed_filters(_table(spark, folder, "documents"))
+    return audit.interactions(masks, _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": substring_dedup,
     "op2_minhash_dedup": minhash_dedup,
@@ -111,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op10_embedding_dedup": embedding_dedup,
     "op11_periodic_runs": periodic_runs,
     "op12_secret_scan": secret_scan,
+    "op13_filter_audit": filter_audit,
 }
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -228,4 +234,25 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
             sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_copied, 0)::BIGINT AS n_copied, coalesce(n_live, 0)::BIGINT AS n_live
         FROM documents LEFT JOIN spans USING (doc_id)""",
+    "op13_filter_audit": f"""
+        WITH words AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
+        firsts AS (SELECT text, min(doc_id) AS first_id FROM words GROUP BY text),
+        masks AS (
+            SELECT doc_id, part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+                + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text))::INT
+                + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first_id, false)::INT AS mask
+            FROM words JOIN firsts USING (text)),
+        marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS bad FROM labels GROUP BY doc_id),
+        counts AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(bad), 0) AS bad FROM masks LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS b),
+        orders AS (
+            SELECT p.x || q.x || r.x || s.x || t.x AS filter_order, [p.b, q.b, r.b, s.b, t.b] AS bits FROM letters p, letters q, letters r, letters s, letters t
+            WHERE p.b + q.b + r.b + s.b + t.b = 31 AND len(list_distinct([p.b, q.b, r.b, s.b, t.b])) = 5),
+        steps AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::BIGINT AS earlier FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+        flags AS (SELECT *, mask & bit > 0 AS fails, mask & earlier > 0 AS gone FROM counts, steps)
+        SELECT part, filter_order, step, coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+            coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+            coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(bad) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost,
+            coalesce(sum(n * 120 // nullif(bit_count(mask), 0)) FILTER (fails), 0)::BIGINT AS shapley
+        FROM flags GROUP BY part, filter_order, step""",
 }
