@@ -82,13 +82,7 @@ def join_tables(study: Study, parent: DataFrame, children: Iterable[DataFrame])
     """One row per combination of child rows of the same parent, as the study's unit of analysis."""
     if study.date and study.time:
         parent = clean.add_epoch(parent, study.date, study.time, study.date)
-    joined, hot_before = clean_table(study, parent), []
-    for child in children:
-        rows = clean_table(study, child)
-        hot = relate.hot_keys(rows, study.key)
-        joined = relate.join_children(joined, rows, study.key, hot, hot_before)
-        hot_before = [*hot_before, *hot]
-    return joined
+    return relate.join_all(clean_table(study, parent), [clean_table(study, child) for child in children], study.key)
 
 
 def clean_rows(study: Study, joined: DataFrame) -> DataFrame:
