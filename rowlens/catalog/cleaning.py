@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rowlens.catalog.registry import Tables, query
 from rowlens.functions.columns import AGE_BOUNDS
 from rowlens.operators import clean, profile, relate
 from rowlens.session import new_folder
-from rowlens.sources.files import scan_csv, scan_parquet, write_csv, write_parquet
+from rowlens.sources.files import misfits, scan_csv, scan_parquet, type_counts, write_csv, write_parquet
 
 PRIORITY = {
     "1-URGENT": "fast",
@@ -72,6 +73,82 @@ def csv_scan(t: Tables):
     return scan_csv(t.spark, path, t.orders.schema)
 
 
+_CHECKS = {
+    "boolean": "lower({0}) IN ('true', 'false')",
+    "integer": r"regexp_full_match({0}, '[+-]?[0-9]+') AND TRY_CAST({0} AS INTEGER) IS NOT NULL",
+    "bigint": r"regexp_full_match({0}, '[+-]?[0-9]+') AND TRY_CAST({0} AS BIGINT) IS NOT NULL",
+    "double": r"regexp_full_match({0}, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?')",
+    "date": r"regexp_full_match({0}, '\d{{4}}-\d{{2}}-\d{{2}}') AND TRY_CAST({0} AS DATE) IS NOT NULL",
+    "timestamp": r"regexp_full_match({0}, '\d{{4}}-\d{{2}}-\d{{2}}( \d{{2}}:\d{{2}}(:\d{{2}}(\.\d+)?)?)?') AND TRY_CAST({0} AS TIMESTAMP) IS NOT NULL",
+}
+_TEXTS = {
+    "key": "CAST(o_orderkey AS VARCHAR)",
+    "large_key": "CAST(o_orderkey + 3000000000 AS VARCHAR)",
+    "price": "CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_totalprice AS VARCHAR) END",
+    "code": "CASE WHEN o_orderkey % 50 = 1 THEN '17:42' ELSE CAST(o_custkey AS VARCHAR) END",
+    "day": "strftime(o_orderdate, '%Y-%m-%d')",
+    "moment": "strftime(o_orderdate, '%Y-%m-%d %H:%M')",
+    "open": "CASE o_orderstatus WHEN 'O' THEN 'true' ELSE 'false' END",
+    "priority": "o_orderpriority",
+    "none": "CAST(NULL AS VARCHAR)",
+}
+
+
+def _texts(t: Tables):
+    key, day = F.col("o_orderkey"), F.col("o_orderdate")
+    return t.orders.select(
+        key.cast("string").alias("key"),
+        (key + 3_000_000_000).cast("string").alias("large_key"),
+        F.when(key % 3 > 0, F.col("o_totalprice").cast("string")).alias("price"),
+        F.when(key % 50 == 1, "17:42").otherwise(F.col("o_custkey").cast("string")).alias("code"),
+        F.date_format(day, "yyyy-MM-dd").alias("day"),
+        F.date_format(day, "yyyy-MM-dd HH:mm").alias("moment"),
+        F.when(F.col("o_orderstatus") == "O", "true").otherwise("false").alias("open"),
+        F.col("o_orderpriority").alias("priority"),
+        F.lit(None).cast("string").alias("none"),
+    )
+
+
+@query(
+    "csv_infer_types",
+    "SELECT *, CASE "
+    + " ".join(f"WHEN n > n_null AND n_{kind} = n - n_null THEN '{kind}'" for kind in _CHECKS)
+    + " ELSE 'string' END AS type FROM ("
+    + " UNION ALL ".join(
+        f"""SELECT '{column}' AS "column", count(*) AS n, count(*) - count(v) AS n_null, {", ".join(f"coalesce(count_if({check.format("v")}), 0)::BIGINT AS n_{kind}" for kind, check in _CHECKS.items())}
+            FROM (SELECT {text} AS v FROM orders)"""
+        for column, text in _TEXTS.items()
+    )
+    + ")",
+)
+def csv_infer_types(t: Tables):
+    """Orders written as text: how many values of each column fit each type, and the type that all fit."""
+    path = new_folder(t.spark, "texts-csv")
+    write_csv(_texts(t), path)
+    return type_counts(t.spark, path)
+
+
+@query(
+    "csv_misfits",
+    """SELECT 'code' AS "column", 'int' AS type, count(*) AS n, 0::BIGINT AS n_null, count_if(o_orderkey % 50 = 1)::BIGINT AS n_misfit FROM orders
+       UNION ALL SELECT 'key', 'tinyint', count(*), 0, count_if(o_orderkey > 127) FROM orders
+       UNION ALL SELECT 'price', 'double', count(*), count_if(o_orderkey % 3 = 0), 0 FROM orders
+       UNION ALL SELECT 'day', 'date', count(*), 0, 0 FROM orders""",
+)
+def csv_misfits(t: Tables):
+    """Values that a declared type turns null, apart from those that are missing."""
+    path = new_folder(t.spark, "texts-csv")
+    write_csv(_texts(t), path)
+    return misfits(t.spark, path, StructType().add("code", "integer").add("key", "byte").add("price", "double").add("day", "date"))
+
+
+@query("csv_scan_inferred", "SELECT * REPLACE (o_custkey::INTEGER AS o_custkey, o_orderkey::INTEGER AS o_orderkey, strftime(o_orderdate, '%Y-%m-%d')::DATE AS o_orderdate) FROM orders")
+def csv_scan_inferred(t: Tables):
+    path = new_folder(t.spark, "orders-csv")
+    write_csv(t.orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")), path)
+    return scan_csv(t.spark, path)
+
+
 @query(
     "csv_sink",
     """SELECT 'l_quantity' AS attribute, count(l_quantity) AS n, round(avg(l_quantity), 6) AS mean,

@@ -233,6 +233,61 @@ for _kind in classify.SETTINGS:
     query(f"clf_{_kind}", _CASES_SQL)(lambda t, kind=_kind: _classified(t, kind))
 
 
+_MANY = ("l_partkey", "price_class")
+_CLASSED = "(SELECT *, CAST(CAST(floor(l_extendedprice / 100) AS BIGINT) AS VARCHAR) AS price_class FROM lineitem)"
+
+
+def _classed(t: Tables):
+    """Lines with the label ``large`` and a category of about as many values as prices have hundreds."""
+    return with_large(t.lineitem).withColumn("price_class", F.floor(F.col("l_extendedprice") / 100).cast("bigint").cast("string"))
+
+
+@query(
+    "label_order",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS attribute, v AS value, n, t, sum(n) OVER ()::BIGINT AS total, CAST(row_number() OVER (ORDER BY t / n::DOUBLE, v) - 1 AS DOUBLE) AS index,
+                   (count_if(t / n::DOUBLE * sum_n < sum_t) OVER () - 0.5)::DOUBLE AS rest
+            FROM (SELECT *, sum(n) OVER () AS sum_n, sum(t) OVER () AS sum_t FROM (
+                  SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n, sum({LARGE_SQL})::BIGINT AS t FROM {_CLASSED} WHERE {_LINE_UNIT} < 0.8 GROUP BY {c}))"""
+        for c in _MANY
+    ),
+)
+def label_order(t: Tables):
+    """Ranks of categories by their share of large lines, learnt on the train rows only."""
+    training, _ = sampling.split_hash(_classed(t), 0.8, _KEY, SEED)
+    return features.label_order_table(training, _MANY, "large", 1)
+
+
+@query("tree_of_many_categories", _CASES_SQL.replace("true AS separates", "true AS separates, true AS over_bins"))
+def tree_of_many_categories(t: Tables):
+    """A tree of 100 bins over categories with more values than that: whether it ranks the test rows as well as it must."""
+    rows = _classed(t).select(*_KEY, *(c for c in _MANY if c not in _KEY), F.col("l_partkey").alias("part"), F.col("large").cast("double").alias("large"))
+    training, _ = sampling.split_hash(rows, 0.8, _KEY, SEED)
+    columns = ["part", "price_class"]
+    coded = features.assemble(features.code_categories(rows, training, columns, "large", 1, bins=100), columns)
+    training, testing = sampling.split_hash(stage(coded, "features", _KEY), 0.8, _KEY, SEED)
+    model = classify.train(training, "decision_tree", "large", maxDepth=8)
+    result = evaluate.evaluate(classify.score(model, testing), "large", 1)
+    values = rows.agg((F.countDistinct("price_class") > 100).alias("over")).scalar()
+    cases = [(F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives")]
+    return result.select(*cases, (F.col("auc") >= 0.95).alias("separates"), values.alias("over_bins"))
+
+
+@query(
+    "models_report",
+    " UNION ALL ".join(f"SELECT '{kind}' AS model, * FROM ({_CASES_SQL})" for kind in classify.SETTINGS),
+)
+def models_report(t: Tables):
+    """All five models, small ones, over one scan of the test rows: cases, and whether each separates them."""
+    training, testing = sampling.split_hash(_staged_vectors(t), 0.8, _KEY, SEED)
+    small = {"decision_tree": {"maxDepth": 8}, "random_forest": {"maxDepth": 6, "numTrees": 10}, "gbt": {"maxDepth": 4, "maxIter": 5}, "linear_svc": {"maxIter": 30}}
+    models = {kind: classify.train(training, kind, "large", **small.get(kind, {})) for kind in classify.SETTINGS}
+    report = evaluate.evaluate_by(classify.score_all(models, testing, "large"), "model", "large", 1)
+    floor = F.create_map(*(x for kind, least in AUC_AT_LEAST.items() for x in (F.lit(kind), F.lit(least))))
+    cases = [(F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives")]
+    return report.select("model", *cases, (F.col("auc") >= floor[F.col("model")]).alias("separates"))
+
+
 #: The test tables read as a study: orders are the parent, lines the child.
 SALES = Study(
     key="o_orderkey",

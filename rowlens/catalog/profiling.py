@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rowlens.catalog.cleaning import FLAGS, LINE_STATUS, PRIORITY, STATUS, _case
 from rowlens.catalog.registry import Tables, query
-from rowlens.operators import features, infogain, profile, relate
+from rowlens.operators import features, infogain, pairs, profile, relate
 
 NUMERIC = ("l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 ORDERED = ("l_linenumber", "l_quantity", "l_discount", "l_tax", "l_extendedprice", "o_totalprice", "l_shipdate")
@@ -334,3 +334,81 @@ def correlation_with_gaps(t: Tables):
         F.col("l_extendedprice").alias("d"),
     )
     return profile.correlation_matrix(rows, list("abcd")).withColumn("correlation", F.round("correlation", 8))
+
+
+#: Orders with two children: the lines for their quantities and those for their prices, with gaps in one column of each.
+_PAIRED = ("total", "l_quantity", "l_discount", "l_extendedprice", "l_tax")
+_PAIRED_SQL = """WITH j AS (
+    SELECT o_totalprice / 100000.0::DOUBLE AS total, a.l_quantity, CASE WHEN a.l_linenumber <> 2 THEN a.l_discount END AS l_discount,
+        b.l_extendedprice / 10000.0::DOUBLE AS l_extendedprice, CASE WHEN b.l_linenumber < 5 THEN b.l_tax END AS l_tax
+    FROM orders JOIN lineitem a ON o_orderkey = a.l_orderkey JOIN lineitem b ON o_orderkey = b.l_orderkey WHERE b.l_returnflag <> 'N') """
+
+
+def _paired(t: Tables):
+    parent = t.orders.select("o_orderkey", (F.col("o_totalprice") / 100000).alias("total"))
+    lines, number = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey"), F.col("l_linenumber")
+    first = lines.select("o_orderkey", "l_quantity", F.when(number != 2, F.col("l_discount")).alias("l_discount"))
+    price, tax = (F.col("l_extendedprice") / 10000).alias("l_extendedprice"), F.when(number < 5, F.col("l_tax")).alias("l_tax")
+    second = lines.where("l_returnflag <> 'N'").select("o_orderkey", price, tax)
+    return parent, {"first": first, "second": second}, "o_orderkey", _PAIRED
+
+
+@query(
+    "describe_of_pairs",
+    _PAIRED_SQL
+    + _union(
+        f"""SELECT '{c}' AS attribute, count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev, min({c}) AS min, max({c}) AS max FROM j"""
+        for c in _PAIRED
+    ),
+)
+def describe_of_pairs(t: Tables):
+    """The summary of all pairs of two children's rows, without a pair."""
+    return pairs.describe_of_pairs(*_paired(t)).withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})
+
+
+@query(
+    "covariance_of_pairs",
+    _PAIRED_SQL
+    + _union(f"SELECT '{a}' AS attribute_a, '{b}' AS attribute_b, round(covar_samp({a}, {b}), 6) AS covariance FROM j" for a, b in combinations(_PAIRED, 2)),
+)
+def covariance_of_pairs(t: Tables):
+    return pairs.covariance_of_pairs(*_paired(t)).withColumn("covariance", F.round("covariance", 6))
+
+
+@query(
+    "correlation_of_pairs",
+    _PAIRED_SQL + _union(f"SELECT '{a}' AS row_attr, '{b}' AS col_attr, round(corr({a}, {b}), 8) AS correlation FROM j" for a in _PAIRED for b in _PAIRED),
+)
+def correlation_of_pairs(t: Tables):
+    return pairs.correlation_of_pairs(*_paired(t)).withColumn("correlation", F.round("correlation", 8))
+
+
+_CHOSEN = ("net", "gross", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
+_CHOSEN_SQL = f"(SELECT *, l_extendedprice * (1 - l_discount) AS net, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS gross, {LARGE_SQL} AS large FROM lineitem)"
+
+
+@query(
+    "choose_features",
+    f"WITH RECURSIVE w AS {_CHOSEN_SQL}, g AS (SELECT attribute, round(gain_ratio, 9) AS gain_ratio FROM ("
+    + _union(_threshold_sql(c, "large", "1", "w") for c in _CHOSEN)
+    + ")), pairs AS ("
+    + _union(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM w" for a in _CHOSEN for b in _CHOSEN if a != b)
+    + """), ranked AS (
+        SELECT g.*, row_number() OVER (ORDER BY gain_ratio DESC, attribute) AS place,
+            coalesce((SELECT list(b) FROM pairs WHERE a = attribute AND abs(r) > 0.9), []) AS others FROM g),
+    chosen AS (
+        SELECT 0::BIGINT AS place, NULL::VARCHAR AS attribute, NULL::DOUBLE AS gain_ratio, NULL::BOOLEAN AS kept, NULL::VARCHAR AS reason, NULL::VARCHAR AS "like", []::VARCHAR[] AS sofar
+        UNION ALL
+        SELECT r.place, r.attribute, r.gain_ratio, r.gain_ratio >= 0.2 AND len(list_filter(sofar, lambda x: list_contains(r.others, x))) = 0,
+            CASE WHEN r.gain_ratio < 0.2 THEN 'gain' WHEN len(list_filter(sofar, lambda x: list_contains(r.others, x))) > 0 THEN 'correlation' END,
+            CASE WHEN r.gain_ratio >= 0.2 THEN list_filter(sofar, lambda x: list_contains(r.others, x))[1] END,
+            CASE WHEN r.gain_ratio >= 0.2 AND len(list_filter(sofar, lambda x: list_contains(r.others, x))) = 0 THEN list_append(sofar, r.attribute) ELSE sofar END
+        FROM chosen JOIN ranked r ON r.place = chosen.place + 1)
+    SELECT place, attribute, gain_ratio, kept, reason, "like" FROM chosen WHERE place > 0""",
+)
+def choose_features(t: Tables):
+    """Attributes to keep: those that tell something about the label and do not repeat a better one."""
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    rows = with_large(t.lineitem).withColumns({"net": net, "gross": net * (1 + F.col("l_tax"))})
+    ranked = infogain.gain_ratio_table(rows, "large", 1, ordered=_CHOSEN, digits=9)
+    return features.choose_features(ranked, profile.correlation_matrix(rows, _CHOSEN), 0.2, 0.9)

@@ -57,3 +57,13 @@ def score(model: Model, df: DataFrame) -> DataFrame:
     scored = model.transform(df)
     source = "probability" if "probability" in scored.columns else "rawPrediction"
     return scored.withColumn("score", vector_to_array(F.col(source))[1])
+
+
+def score_all(models: Mapping[str, Model], df: DataFrame, label: str, features: str = "features") -> DataFrame:
+    """(model, label, prediction, score) for each row and model, from one scan of the rows."""
+    rows = df.select(name(label), name(features))
+    for i, model in enumerate(models.values()):
+        rows = score(model, rows).withColumnsRenamed({"prediction": f"_prediction_{i}", "score": f"_score_{i}"})
+        rows = rows.drop("probability", "rawPrediction")
+    told = [F.struct(F.lit(kind).alias("model"), F.col(f"_prediction_{i}").alias("prediction"), F.col(f"_score_{i}").alias("score")) for i, kind in enumerate(models)]
+    return rows.select(name(label), F.inline(F.array(*told))).select("model", name(label), "prediction", "score")

@@ -90,6 +90,11 @@ def fill_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     )
 
 
+def mean_sources(columns: Sequence[str], bands: Mapping[str, tuple[str, Sequence[float]]]) -> list[str]:
+    """The columns whose means :func:`fill_means` needs."""
+    return list(dict.fromkeys([*columns, *(source for source, _ in bands.values())]))
+
+
 def column_means(df: DataFrame, columns: Sequence[str]) -> Column:
     """Means of the non-null values as one scalar subquery: a struct with a field per column."""
     means = df.agg(F.struct(*(F.avg(name(c)).alias(c) for c in columns)).alias("means"))
@@ -100,15 +105,16 @@ def fill_means(
     df: DataFrame,
     columns: Sequence[str],
     bands: Mapping[str, tuple[str, Sequence[float]]] | None = None,
+    means: Column | None = None,
 ) -> DataFrame:
     """Fill nulls with the column's mean; an integer column gets the truncated mean.
 
     ``bands`` maps a banded column to (source column, upper bounds): its nulls get
-    the band of the source column's mean.
+    the band of the source column's mean. ``means`` is a struct of the means where they are known, as those of more rows than ``df`` has.
     """
     bands = bands or {}
-    sources = dict.fromkeys([*columns, *(source for source, _ in bands.values())])
-    means = column_means(df, list(sources))
+    if means is None:
+        means = column_means(df, mean_sources(columns, bands))
     fills = {c: means.getField(c) for c in columns}
     fills.update({c: band(means.getField(source), bounds) for c, (source, bounds) in bands.items()})
     return df.withColumns({c: F.coalesce(name(c), v.cast(df.schema[c].dataType)) for c, v in fills.items()})

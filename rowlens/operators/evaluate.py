@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,17 +47,17 @@ def confusion_metrics(
     return predictions.agg(*_cells(equals(label, positive), equals(prediction, positive), n)).select(*_metrics())
 
 
-def _area(running: DataFrame) -> DataFrame:
+def _area(running: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Share of (positive, negative) pairs in which the positive scores higher; ties count half.
 
     Reads per-score counts ``pos`` and ``neg`` with running sums; no pair is formed.
     """
     below = F.col("cum_neg") - F.col("neg")
     won = F.sum(F.col("pos").cast("double") * (below.cast("double") + F.col("neg") / F.lit(2.0)))
-    area = running.agg(
+    area = running.groupBy(*by).agg(
         won.alias("won"), F.max("all_pos").cast("double").alias("p"), F.max("all_neg").cast("double").alias("q")
     )
-    return area.select(ratio(F.col("won"), F.col("p") * F.col("q")).alias("auc"))
+    return area.select(*by, ratio(F.col("won"), F.col("p") * F.col("q")).alias("auc"))
 
 
 def auc_roc(
@@ -91,3 +93,21 @@ def evaluate(
     confusion = blocks.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _CELLS)).select(*_metrics())
     area = _area(running_totals(blocks.filter(F.col("score").isNotNull()), [], [F.col("score")], ["pos", "neg"]))
     return confusion.withColumn("auc", area.scalar())
+
+
+def evaluate_by(
+    predictions: DataFrame, by: str, label: str, positive: object = 1, prediction: str = "prediction", score: str = "score"
+) -> DataFrame:
+    """A row like that of :func:`evaluate` for each value of ``by``, such as the model that scored the row.
+
+    All rows are reduced to counts per (by, score) at once, and one range-cut ranking by (by, score) gives every area. A value
+    of ``by`` with no labelled row has no row here.
+    """
+    actual, predicted = equals(label, positive), equals(prediction, positive)
+    rows = predictions.filter(name(label).isNotNull())
+    counts = rows.groupBy(name(by).alias("_by"), name(score).cast("double").alias("score")).agg(*_cells(actual, predicted, F.lit(1)))
+    per_score = counts.withColumns({"pos": F.col("tp") + F.col("fn"), "neg": F.col("fp") + F.col("tn")})
+    blocks = in_blocks(per_score, ["_by"], [F.col("score")])
+    confusion = blocks.groupBy("_by").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _CELLS)).select("_by", *_metrics())
+    area = _area(running_totals(blocks.filter(F.col("score").isNotNull()), ["_by"], [F.col("score")], ["pos", "neg"]), ["_by"])
+    return confusion.join(area, "_by", "left").withColumnRenamed("_by", by)

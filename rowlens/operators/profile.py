@@ -79,26 +79,36 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return summary.select(names[F.col("i")].alias("attribute"), "n", "mean", "stddev", "min", "max")
 
 
-def covariance_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def covariance_pairs(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
     """Sample covariance of each unordered pair of columns, over the rows that have both.
 
     Every pair has a row: its value is null with less than two such rows, and NaN if one of them holds NaN.
+    ``weight`` names a column with the number of rows that a row stands for.
     """
-    moments = _pair_moments(df, columns).filter("i < j")
+    return covariances(pair_moments(df, columns, weight), columns)
+
+
+def covariances(moments: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(attribute_a, attribute_b, covariance) of :func:`pair_moments`."""
     value = F.when(F.col("n") > 1, F.try_divide(F.col("cij"), F.col("n") - 1))
     a, b = _names(columns)
-    return moments.select(a.alias("attribute_a"), b.alias("attribute_b"), value.alias("covariance"))
+    return moments.filter("i < j").select(a.alias("attribute_a"), b.alias("attribute_b"), value.alias("covariance"))
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
     """Pearson correlation of every ordered pair, as (row_attr, col_attr, correlation).
 
     Each pair uses the rows that have both values and has a cell: null without such rows or without variation, NaN
-    if one of them holds NaN.
+    if one of them holds NaN. ``weight`` names a column with the number of rows that a row stands for.
     """
+    return correlations(pair_moments(df, columns, weight), columns)
+
+
+def correlations(moments: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(row_attr, col_attr, correlation) of :func:`pair_moments`."""
     cii, cjj = F.col("cii"), F.col("cjj")
     value = F.when((F.col("i") == F.col("j")) & ~F.isnan(cii), F.lit(1.0)).otherwise(F.try_divide(F.col("cij"), F.sqrt(cii) * F.sqrt(cjj)))
-    upper = _pair_moments(df, columns).select("i", "j", F.when((cii > 0) & (cjj > 0), value).alias("correlation"))
+    upper = moments.select("i", "j", F.when((cii > 0) & (cjj > 0), value).alias("correlation"))
     both_ways = F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
     cells = upper.select(F.explode(F.array_distinct(both_ways)).alias("cell"), "correlation").select("cell.*", "correlation")
     a, b = _names(columns)
@@ -173,20 +183,22 @@ def _names(columns: Sequence[str]) -> tuple[Column, Column]:
 _MOMENTS = "i int, j int, n double, mi double, mj double, cii double, cjj double, cij double"
 
 
-def _pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def pair_moments(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
     """Centred second moments (i, j, n, cii, cjj, cij) of all pairs i <= j from one scan.
 
     Matrix products inside the tasks give one row of moments per pair and task; only
     those are shuffled. They are merged around the common mean, so no digits are lost
     to large values. An aggregate with one expression per pair is slower from about
-    ten columns on, as its generated code gets too long to be compiled.
+    ten columns on, as its generated code gets too long to be compiled, and so is one over rows of (pair, x, y).
     """
     values = df.select(*(name(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)))
     pairs = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(len(columns)) for j in range(i, len(columns))))
     # A pair that no task has rows of still has its place.
     zero = [F.lit(0.0).alias(c) for c in ("n", "mi", "mj", "cii", "cjj", "cij")]
     every = df.sparkSession.range(1).select(F.explode(pairs).alias("pair")).select("pair.i", "pair.j", *zero)
-    parts = values.mapInArrow(_task_moments(), _MOMENTS).unionByName(every)
+    if weight:
+        values = df.select(*(name(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)), name(weight).cast("double").alias("w"))
+    parts = values.mapInArrow(_task_moments(weight is not None), _MOMENTS).unionByName(every)
     pair = Window.partitionBy("i", "j")
     n = F.col("n")
     gap_i = F.col("mi") - F.try_divide(F.sum(n * F.col("mi")).over(pair), F.sum(n).over(pair))
@@ -200,7 +212,7 @@ def _pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _task_moments() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _task_moments(weighted: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Count, means and centred moments per pair, over the rows of a task that have both values.
 
     The inner function travels to the tasks by value, so executors need no copy of this package.
@@ -209,8 +221,10 @@ def _task_moments() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
     def moments_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, shift, spoilt = None, None, False
         for batch in batches:
-            x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in batch.columns])
-            given = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns])
+            columns = batch.columns[:-1] if weighted else batch.columns
+            w = batch.columns[-1].to_numpy(zero_copy_only=False)[:, None] if weighted else np.ones((batch.num_rows, 1))
+            x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in columns])
+            given = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in columns])
             has = ~np.isnan(x)
             odd = (given & ~has).astype(float)  # NaN is a value, unlike null
             if odd.any():
@@ -222,13 +236,13 @@ def _task_moments() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
             x -= shift
             if has.all():
                 ones = np.ones(x.shape[1])
-                first, square = np.outer(x.sum(axis=0), ones), np.outer((x * x).sum(axis=0), ones)
-                counts = np.full((x.shape[1], x.shape[1]), float(len(x)))
+                first, square = np.outer((x * w).sum(axis=0), ones), np.outer((x * x * w).sum(axis=0), ones)
+                counts = np.full((x.shape[1], x.shape[1]), float(w.sum()))
             else:
                 x[~has] = 0.0
                 mask = has.astype(float)
-                first, square, counts = x.T @ mask, (x * x).T @ mask, mask.T @ mask
-            part = np.stack([counts, first, first.T, square, square.T, x.T @ x])
+                first, square, counts = x.T @ (mask * w), (x * x).T @ (mask * w), mask.T @ (mask * w)
+            part = np.stack([counts, first, first.T, square, square.T, (x * w).T @ x])
             sums = part if sums is None else sums + part
         if sums is None:
             return

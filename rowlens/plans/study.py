@@ -8,13 +8,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rowlens.functions.columns import name
 from rowlens.operators import clean, cluster, features, infogain, profile, relate, sampling
-from rowlens.operators.classify import SETTINGS, known_settings, score, train
-from rowlens.operators.evaluate import evaluate
+from rowlens.operators.classify import SETTINGS, known_settings, score_all, train
+from rowlens.operators.evaluate import evaluate_by
 from rowlens.sources.files import stage
 
 
@@ -62,6 +62,7 @@ class Study:
     histograms: Sequence[tuple[str, str, Sequence[str]]] = ()
     seed: int = 1234
     train_share: float = 0.8
+    bins: int = 100
 
 
 def clean_table(study: Study, table: DataFrame) -> DataFrame:
@@ -95,14 +96,14 @@ def clean_rows(study: Study, joined: DataFrame) -> DataFrame:
     return clean.project(df, rename=study.renamed)
 
 
-def fill_rows(study: Study, cleaned: DataFrame) -> DataFrame:
+def fill_rows(study: Study, cleaned: DataFrame, means: Column | None = None) -> DataFrame:
     """Impute, turn codes into categories and add the binary label.
 
-    The means are a subquery over ``cleaned``; a plan that joins runs once more for them, with no columns but theirs.
+    Without ``means`` they are a subquery over ``cleaned``; a plan that joins runs once more for them, with no columns but theirs.
     """
     df = cleaned
     if study.mean_fills or study.band_fills:
-        df = clean.fill_means(df, study.mean_fills, study.band_fills)
+        df = clean.fill_means(df, study.mean_fills, study.band_fills, means)
     df = clean.fill_constants(df, study.constant_fills)
     df = clean.to_nominal(df, study.nominal)
     return clean.binarize(df, study.label_source, study.label_zero, study.label)
@@ -116,12 +117,22 @@ def sample_rows(study: Study, rows: DataFrame) -> DataFrame:
 
 
 def prepare(study: Study, parent: DataFrame, children: Iterable[DataFrame]) -> DataFrame:
-    """Joined, cleaned, filled and sampled rows as a staged table.
+    """Joined, cleaned, filled and sampled rows, over a staged table.
 
     Only the sample is written: it is taken in the stage that joins, and the joined pairs, of which there may be very many more, are not stored.
+    The means of all pairs are observed as they pass by, in that same stage, so the joins run once. Where the sample depends on a
+    filled column, rows are filled first, with means from a plan of their own.
     """
     cleaned = clean_rows(study, join_tables(study, parent, children))
-    return stage(sample_rows(study, fill_rows(study, cleaned)), "prepared")
+    sources = clean.mean_sources(study.mean_fills, study.band_fills)
+    filled = {*study.mean_fills, *study.band_fills, *study.constant_fills}
+    if not sources or filled & {study.strata, *study.row_key}:
+        return stage(sample_rows(study, fill_rows(study, cleaned)), "prepared")
+    seen = Observation()
+    passing = cleaned.observe(seen, *(F.avg(name(c)).alias(f"m{i}") for i, c in enumerate(sources)))
+    sample = stage(sample_rows(study, passing), "prepared")
+    means = F.struct(*(F.lit(seen.get[f"m{i}"]).cast("double").alias(c) for i, c in enumerate(sources)))
+    return fill_rows(study, sample, means)
 
 
 def feature_columns(study: Study) -> list[str]:
@@ -130,12 +141,16 @@ def feature_columns(study: Study) -> list[str]:
 
 
 def index_rows(study: Study, prepared: DataFrame) -> DataFrame:
-    """The model columns: ordered ones as they are, nominal ones as category indexes, and the label."""
+    """The model columns: ordered ones as they are, nominal ones as category indexes, and the label.
+
+    A nominal column with more values than ``study.bins`` is ranked by label, on the rows that models are trained on.
+    """
     kept = feature_columns(study)
     nominal = [c for c in study.nominal if c in kept]
     wanted = dict.fromkeys([*study.row_key, *study.numeric, *kept])
     columns = prepared.select(*(name(c) for c in wanted), name(study.label).cast("double").alias(study.label))
-    return features.index_for_models(columns, nominal)
+    training, _ = sampling.split_hash(columns, study.train_share, study.row_key, study.seed)
+    return features.code_categories(columns, training, nominal, study.label, 1, study.bins)
 
 
 def vectorize(study: Study, indexed: DataFrame) -> DataFrame:
@@ -188,16 +203,12 @@ def evaluate_models(
     if unknown := [key for key in settings if not any(known_settings(kind, {key: 0}) for kind in kinds)]:
         raise TypeError(f"no chosen model has the settings {unknown}")
     training, testing = sampling.split_hash(vectors, study.train_share, study.row_key, study.seed)
-    report = None
-    for kind in kinds:
-        chosen = {**known_settings(kind, settings), **(by_kind or {}).get(kind, {})}
-        model = train(training, kind, study.label, **chosen)
-        scored = score(model, testing)
-        if positive == 0:
-            scored = scored.withColumn("score", -F.col("score"))
-        row = evaluate(scored, study.label, positive).select(F.lit(kind).alias("model"), "*")
-        report = row if report is None else report.unionByName(row)
-    return report
+    models = {kind: train(training, kind, study.label, **{**known_settings(kind, settings), **(by_kind or {}).get(kind, {})}) for kind in kinds}
+    scored = score_all(models, testing, study.label)
+    if positive == 0:
+        scored = scored.withColumn("score", -F.col("score"))
+    place = F.array_position(F.array(*(F.lit(kind) for kind in kinds)), F.col("model"))
+    return evaluate_by(scored, "model", study.label, positive).orderBy(place)
 
 
 def run(study: Study, parent: DataFrame, children: Iterable[DataFrame], **settings: object) -> dict[str, DataFrame]:

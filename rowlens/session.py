@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +46,30 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or context.getCheckpointDir()
 
 
+_owners: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark).rstrip('/')}/rowlens/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no earlier run has used. It belongs to the innermost :func:`owned_tables` that is open."""
+    path = f"{shared_dir(spark).rstrip('/')}/rowlens/{name}-{uuid.uuid4().hex}"
+    if _owners:
+        _owners[-1].append(path)
+    return path
+
+
+@contextmanager
+def owned_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes the staged tables that are made inside it when it ends, also by an error; gives the list of their paths.
+
+    Results that read them must be written or collected inside. Tables made without an owner stay until somebody deletes them.
+    """
+    paths: list[str] = []
+    _owners.append(paths)
+    try:
+        yield paths
+    finally:
+        _owners.remove(paths)
+        hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = hadoop.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)

@@ -180,3 +180,70 @@ def test_settings_are_the_published_ones():
     forest = classify.estimator("random_forest", "y")
     assert (forest.getImpurity(), forest.getNumTrees(), forest.getMaxDepth()) == ("gini", 25, 13)
     assert classify.estimator("gbt", "y").getMaxDepth() == 12
+
+
+def test_redundant_attributes_are_dropped_after_better_ones(spark):
+    ranking = spark.createDataFrame([("a", 0.5), ("b", 0.4), ("c", 0.4), ("d", 0.3), ("e", None), ("f", 0.01), ("g", 0.2)], "attribute string, gain_ratio double")
+    cells = [("a", "c", -0.95), ("c", "d", 0.99), ("a", "f", 1.0), ("b", "g", float("nan")), ("d", "g", None), ("e", "b", 0.99), ("f", "g", 0.99)]
+    both = [*cells, *((y, x, r) for x, y, r in cells), *((x, x, 1.0) for x in "abcdefg")]
+    correlation = spark.createDataFrame(both, "row_attr string, col_attr string, correlation double")
+    choice = features.choose_features(ranking, correlation, 0.1, 0.9)
+    told = [(r.place, r.attribute, r.kept, r.reason, r.like) for r in choice.orderBy("place").collect()]
+    # c goes for a, so d, which is like c alone, stays; a weak one is no reason to drop another.
+    assert told == [
+        (1, "a", True, None, None),
+        (2, "b", True, None, None),
+        (3, "c", False, "correlation", "a"),
+        (4, "d", True, None, None),
+        (5, "g", True, None, None),
+        (6, "f", False, "gain", None),
+        (7, "e", False, "gain", None),
+    ]
+    df = spark.createDataFrame([tuple(range(8))], "a int, b int, c int, d int, e int, f int, g int, label int")
+    assert features.select_features(df, choice, keep=["f"]).columns == ["a", "b", "d", "f", "g", "label"]
+    none = features.choose_features(ranking.limit(0), correlation.limit(0), 0.1, 0.9)
+    assert none.count() == 0
+
+
+def test_ranks_by_label_split_as_well_as_any_set_of_values(spark):
+    """The best of all sets of values, tried out, is a threshold of the ranks."""
+    shares = {"a": (3, 10), "b": (9, 10), "c": (1, 10), "d": (5, 10), "e": (7, 9)}
+    rows = [(v, int(i < t)) for v, (t, n) in shares.items() for i in range(n)] + [(None, 1)]
+    train = spark.createDataFrame(rows, "v string, label int")
+    table = features.label_order_table(train, ["v"], "label", 1)
+    ranks = {r.value: r["index"] for r in table.collect()}
+    assert ranks == {"c": 0.0, "a": 1.0, "d": 2.0, "e": 3.0, "b": 4.0}
+    assert {(r.n, r.t, r.total, r.rest) for r in table.where("value = 'e'").collect()} == {(9, 7, 49, 2.5)}
+
+    def impurity(group):
+        t, n = sum(shares[v][0] for v in group), sum(shares[v][1] for v in group)
+        return n * 2 * (t / n) * (1 - t / n) if n else 0.0
+
+    sets = [{v for i, v in enumerate(shares) if bits >> i & 1} for bits in range(1, 2 ** len(shares) - 1)]
+    best = min(sets, key=lambda s: impurity(s) + impurity(shares.keys() - s))
+    assert any(best in ({v for v in ranks if ranks[v] <= x}, {v for v in ranks if ranks[v] > x}) for x in ranks.values())
+    df = spark.createDataFrame([("b", 1), ("new", 2), (None, 3)], "v string, id int")
+    coded = features.code_by_label(df, train, ["v"], "label", 1)
+    assert coded.columns == ["v", "id"] and {(r.id, r.v) for r in coded.collect()} == {(1, 4.0), (2, 2.5), (3, None)}
+
+
+def test_only_columns_with_more_values_than_bins_are_ranked(spark):
+    df = spark.range(600).select((F.col("id") % 150).cast("string").alias("many"), (F.col("id") % 3).cast("string").alias("few"), (F.col("id") % 150 > 75).cast("int").alias("y"))
+    coded = features.code_categories(df, df, ["many", "few"], "y", 1, bins=100)
+    assert coded.schema["few"].metadata["ml_attr"]["num_vals"] == 3 and "ml_attr" not in coded.schema["many"].metadata
+    vectors = features.assemble(coded.withColumn("y", F.col("y").cast("double")), ["many", "few"])
+    model = classify.train(vectors, "decision_tree", "y", maxDepth=1)
+    # 100 bins for 150 ranks: the rows of a value beside the best threshold may be on its wrong side.
+    assert model.transform(vectors).where("prediction <> y").count() <= 4
+
+
+def test_models_are_reported_together_as_one_by_one(spark):
+    df = spark.range(400).select((F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("z"), (F.col("id") % 20 > 12).cast("double").alias("y"))
+    vectors = features.assemble(df, ["x", "z"])
+    models = {"decision_tree": {"maxDepth": 2}, "naive_bayes": {}, "linear_svc": {"maxIter": 5}}
+    models = {kind: classify.train(vectors, kind, "y", **settings) for kind, settings in models.items()}
+    together = evaluate.evaluate_by(classify.score_all(models, vectors, "y"), "model", "y", 1)
+    assert together.columns[0] == "model" and together.count() == 3
+    for row in together.collect():
+        alone = evaluate.evaluate(classify.score(models[row.model], vectors), "y", 1).first()
+        assert tuple(row)[1:] == tuple(alone)
