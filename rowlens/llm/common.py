@@ -38,6 +38,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(table: DataFrame) -> None:
+    """Remove a table of :func:`stage` that nothing reads any more, to have its room."""
+    spark = table.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def two_columns(df: DataFrame, key: str, value: str) -> DataFrame:
     """Only ``key`` and ``value``, as ``id`` long and ``value``: other columns can't clash with the operators' own."""
     return df.select(df[f"`{key}`"].cast("long").alias("id"), df[f"`{value}`"].alias("value"))
