@@ -21,6 +21,10 @@ TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Characters that both libraries class alike in every version of Unicode's tables.
 _PLAIN = re.compile("[^\t\n\r\x20-\x7e¡-ɏ]")
 
+#: Share of the tokens that is packed as pieces of a GRAINS-th of a window at first, and the share of windows by which the count may rise
+#: before that share is doubled.
+CUT, GRAINS, SPARE = 0.06, 32, 0.02
+
 _encodings: dict = {}
 
 
@@ -70,39 +74,37 @@ def difference(sizes: list[int], windows: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array([place[i][-1] for i in range(len(sizes))]), heap[0][2]
 
 
-def pack_sizes(sizes: list[int], capacity: int, trim: float = 0.04) -> list[tuple[int, int, int, int]]:
-    """Pieces (item, from, length, window): near-equal windows, as few as hold all sizes.
+def cut_some(sizes: list[int], share: float, grain: int) -> list[tuple[int, int, int]]:
+    """(item, from, length): every item whole, but for some that hold about ``share`` of the tokens, cut into pieces of at most ``grain``."""
+    pieces, due = [], 0.0
+    for i, size in enumerate(sizes):
+        due += size * share
+        n = 1
+        if due >= size:
+            due -= size
+            n = -(-size // grain)
+        pieces += [(i, size * k // n, size * (k + 1) // n - size * k // n) for k in range(n)]
+    return pieces
+
+
+def pack_sizes(sizes: list[int], capacity: int) -> list[tuple[int, int, int, int]]:
+    """Pieces (item, from, length, window): near-equal windows, as few as differencing brings below ``capacity``.
 
-    The count of windows rises whenever capacity is exceeded by more than the share ``trim`` of all tokens. What less is in
-    excess is cut off the largest items of the overfull windows and fills up windows with room.
+    The count of windows begins at the least that could hold all sizes and rises while any window is over capacity; no window is mended
+    afterwards. Items of at most ``capacity`` mostly stay whole. Differencing levels windows down to the smallest sizes it is given, so a share of
+    the tokens goes in as small pieces. Where the count would still rise by more than SPARE, that share is doubled first.
     """
-    total = sum(sizes)
-    windows = max(1, -(-total // capacity))
+    least = max(1, -(-sum(sizes) // capacity))
+    share, grain = CUT, max(1, capacity // GRAINS)
     while True:
-        at, sums = difference(sizes, windows)
-        if np.maximum(sums - capacity, 0).sum() <= trim * total:
-            break
-        windows += 1
-    left = dict(enumerate(sizes))
-    excess = {w: int(x - capacity) for w, x in enumerate(sums) if x > capacity}
-    loose = []
-    for i in np.lexsort((np.arange(len(sizes)), -np.array(sizes))).tolist():
-        if cut := min(excess.get(int(at[i]), 0), left[i]):
-            left[i] -= cut
-            excess[int(at[i])] -= cut
-            loose.append([i, left[i], cut])
-    pieces = [(i, 0, n, int(at[i])) for i, n in left.items() if n]
-    for window in np.argsort(sums, kind="stable").tolist():
-        room = int(capacity - sums[window])
-        while loose and room > 0:
-            i, start, n = loose[-1]
-            n = min(n, room)
-            pieces.append((i, start, n, window))
-            room -= n
-            loose[-1] = [i, start + n, loose[-1][2] - n]
-            if not loose[-1][2]:
-                loose.pop()
-    return pieces
+        pieces, windows = cut_some(sizes, share, grain), least
+        while share >= 1 or windows - least <= SPARE * windows:
+            at, sums = difference([n for *_, n in pieces], windows)
+            over = int(np.maximum(sums - capacity, 0).sum())
+            if not over:
+                return [(*piece, int(window)) for piece, window in zip(pieces, at, strict=True)]
+            windows += max(1, over // capacity)
+        share = min(1.0, 2 * share)
 
 
 def pack(
@@ -120,10 +122,10 @@ def pack(
 
     A text becomes its ids and ``end_id``. Pieces of exactly ``capacity`` tokens are cut off its front and fill a
     sequence each; the rests (of ``group`` documents at a time) are spread over near-equal windows by
-    :func:`pack_sizes`. Columns: key, start, length, ids_crc32, doc_tokens, sequence_id, offset and, ``with_ids``, ids.
+    :func:`pack_sizes`, which fills none over ``capacity``. Columns: key, start, length, ids_crc32, doc_tokens, sequence_id, offset and, ``with_ids``, ids.
 
-    A null text counts as empty: its only id is ``end_id``. Repeated rows are packed each on their own, other columns are
-    ignored, an empty table gives no rows. Each task packs its own rows, so nothing is shuffled; ``sequence_id`` holds
+    A null text counts as empty: its only id is ``end_id``. A text of any length is held once, as its ids. Repeated rows are packed each on
+    their own, null keys too, other columns are ignored, an empty table gives no rows. Each task packs its own rows, so nothing is shuffled; ``sequence_id`` holds
     the number of the task's partition in its upper bits. A task that is run again on the same files gives the same pieces.
     """
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids

@@ -212,8 +212,36 @@ def test_differencing_balances():
     sizes = np.random.default_rng(1).integers(1, 1024, 300).tolist()
     at, sums = packing.difference(sizes, 160)
     assert np.bincount(at, sizes, minlength=160).astype(int).tolist() == sums.tolist() and sums.max() - sums.min() < 400
-    pieces = packing.pack_sizes(sizes, 1024)
-    assert sum(n for _, _, n, _ in pieces) == sum(sizes)
+
+
+def test_windows_rise_until_none_is_over_capacity():
+    """Items of all sizes, of about two thirds of a window, all equal, one, and more than a window; windows hold every token once."""
+    rng = np.random.default_rng(1)
+    cases = [rng.integers(low, high, 512).tolist() for low, high in ((1, 1024), (200, 1024), (600, 700), (1023, 1024), (1, 2))]
+    cases += [[700] * 512, [1024] * 7, [5], [513] * 2, [3000, 10, 1]]
+    for sizes in cases:
+        pieces = packing.pack_sizes(sizes, 1024)
+        assert np.bincount([i for i, *_ in pieces], [n for _, _, n, _ in pieces]).astype(int).tolist() == sizes
+        ends = {}
+        for i, start, n, _ in sorted(pieces):
+            assert n > 0 and start == ends.get(i, 0)
+            ends[i] = start + n
+        filled = np.bincount([w for *_, w in pieces], [n for _, _, n, _ in pieces])
+        least = -(-sum(sizes) // 1024)
+        assert filled.min() > 0 and filled.max() <= 1024 and len(filled) - least <= max(1, 0.025 * len(filled))
+    at, sums = packing.difference([700] * 6, 5)  # without a cut, two items of 700 cannot share a window
+    assert sums.max() == 1400 and [n for *_, n in packing.cut_some([700] * 6, 0.0, 32)] == [700] * 6
+
+
+def test_plain_texts_have_the_ids_of_the_tokenizer():
+    """Both ways of encoding, on texts of letters, digits, marks, white space and code points of many blocks."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    rng = np.random.default_rng(8)
+    marks = list("aZ é09'’.,!?-_/\\\t\n\r \u00a0\u00ad\u0301\u200b\u3000ßıſΩжא中😀²½") + ["'s", "'LL", "  ", "\n\n", "<|endoftext|>", "the", " and"]
+    texts = ["".join(rng.choice(marks, rng.integers(0, 30))) for _ in range(3000)]
+    texts += ["".join(chr(c) for c in rng.integers(32, 0x250, 20)) for _ in range(1000)]
+    for t, ids in zip(texts, packing._encode(texts, packing.TOKENIZER, packing.RANKS), strict=True):
+        assert ids.tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def test_mixture(make, odd_rows):
