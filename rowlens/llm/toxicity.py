@@ -16,9 +16,9 @@ from rowlens.llm.common import map_batches, stage
 from rowlens.llm.minhash import shingle_sets
 from rowlens.llm.words import words_of
 
-#: Labelled rows of either kind that a model is fitted on at most, and terms of its lexicon at most.
-TOXIC_ROWS, CLEAN_ROWS, TERMS = 4_000, 24_000, 500
-#: A term is a word, or the start of a word of one of these lengths.
+#: Labelled rows of either kind that a model is fitted on at most.
+TOXIC_ROWS, CLEAN_ROWS = 4_000, 24_000
+#: A term is a word of any length, or the start of a longer word of one of these lengths.
 STEMS = range(4, 10)
 #: Least log-likelihood ratio of a term (a chance of about one in 100,000), and least share of toxic rows among its rows.
 EVIDENCE, PURITY = 20.0, 0.8
@@ -210,7 +210,7 @@ def _terms(batch: pa.RecordBatch) -> pa.RecordBatch:
     counts: dict[bool, Counter] = {True: Counter(), False: Counter()}
     for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
         words = {_bare(w) for w in (text or "").split()}
-        found = {(w, False) for w in words if len(w) >= STEMS.start}
+        found = {(w, False) for w in words if w}
         found |= {(w[:n], True) for w in words for n in STEMS if len(w) > n}
         counts[bool(toxic)].update(found)
     terms = list(counts[True].keys() | counts[False].keys())
@@ -248,7 +248,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
     At most 4,000 toxic and 24,000 clean rows are used, by a hash of the key; the documented bound of what is read for learning, of
     the broadcast keys, and of the features that reach the driver. A term is kept if the rows that hold it are toxic far more
-    often than chance allows; a stem replaces the longer terms that begin with it. Without toxic and clean rows, the model has no terms.
+    often than chance allows, however many are; a stem replaces the longer terms that begin with it. Without toxic and clean rows, the model has no terms.
     """
     given = labels.where(~held_out(key) & labels[f"`{key}`"].isNotNull() & labels[label].isNotNull())
     given = given.groupBy(F.col(key).alias("id")).agg((F.max(label) > 0).alias("toxic"))
@@ -267,15 +267,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     log = lambda part, p: F.when(part > 0, part * F.log(p)).otherwise(0.0)
     ratio = 2 * (log(F.col("t"), share / base) + log(F.col("c"), (1 - share) / (1 - base)))
     strong = counted.withColumn("ratio", ratio).where((F.col("ratio") >= EVIDENCE) & (share >= max(PURITY, base)))
-    # Long stems of a short one say the same, so the short come first; what reaches the driver is bounded.
-    best = strong.orderBy(F.desc("ratio"), "term", "stem").limit(20 * TERMS).collect()
-    kept: dict[str, bool] = {}
-    for r in sorted(best, key=lambda r: (len(r["term"]), not r["stem"], r["term"])):
-        if not any(kept.get(r["term"][:i]) for i in range(STEMS.start, len(r["term"]) + 1)):
-            kept[r["term"]] = r["stem"]
-    order = {r["term"]: i for i, r in reversed(list(enumerate(best)))}
-    terms = sorted(kept, key=order.__getitem__)[:TERMS]
-    model = ToxicityModel([(t, kept[t]) for t in terms], [0.0] * 7)
+    strong = stage(strong.select("term", "stem"), "strong")
+    # A stem says what every longer term that begins with it says, so those go.
+    begins = strong.select("term", "stem", F.explode(F.transform(F.sequence(*(F.lit(n) for n in (STEMS.start, STEMS.stop - 1))), lambda n: F.left("term", n))).alias("begin"))
+    longer = begins.where((F.length("term") > F.length("begin")) | ~F.col("stem"))
+    longer = longer.join(strong.where("stem").select(F.col("term").alias("begin")), "begin", "left_semi")
+    # Each of these terms is in several labelled rows, of which there is a bounded number.
+    terms = strong.join(longer, ["term", "stem"], "left_anti").orderBy("term", "stem").collect()
+    model = ToxicityModel([(r["term"], r["stem"]) for r in terms], [0.0] * 7)
 
     def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = np.concatenate([_features(part, model) for part in _slices(batch.column(0))])
@@ -292,7 +291,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
 
     Words, by whitespace and without marks at their ends, pass a Levenshtein automaton of the lexicon's trie once for each
     different word of a worker. Hits in quotation marks or after a reporting word count apart from the others.
-    Null and empty texts have the score of a text without hits; repeated rows and null keys are rows like others. Fitting runs jobs when called.
+    Null and empty texts have the score of a text without hits; repeated rows and null keys are rows like others. Long texts are read
+    whole. Other columns are ignored, whatever their names; an empty table gives no rows. Fitting runs jobs when called.
     """
     model = fit_toxicity(docs, labels, key, text, label)
     rows = docs.select(docs[f"`{key}`"].alias(key), held_out(docs[f"`{key}`"]).alias("held_out"), score_column(model, docs[f"`{text}`"]).alias("score"))
