@@ -16,11 +16,13 @@ _PREFIX = 12  # leading bits of a key by which rows find their range
 
 
 def _splitters(sample: list[tuple[int, float]], ranges: int) -> list[int]:
-    """Lower bounds of the ranges but the first: weighted quantiles of the sampled keys. A key over a whole quantile stands alone."""
-    sample = sorted(sample)
-    total = sum(w for _, w in sample)
-    bounds, done, step = [], 0.0, 1
+    """Lower bounds of the ranges but the first: weighted quantiles of the sampled keys. A key over a whole quantile, by all its rows, stands alone."""
+    weights: dict[int, float] = {}
     for key, weight in sample:
+        weights[key] = weights.get(key, 0.0) + weight
+    total = sum(weights.values())
+    bounds, done, step = [], 0.0, 1
+    for key, weight in sorted(weights.items()):
         hit = 0
         while step < ranges and done + weight >= total * step / ranges:
             step, hit = step + 1, hit + 1
@@ -49,8 +51,8 @@ def shard_rows(docs: DataFrame, shards: int = 24, key: str = "doc_id", text: str
     ``size`` is the text's UTF-8 bytes plus ``overhead``. Rows are ordered by a hash of their text, so copies stay
     together. Keys are sampled with chances in proportion to size, and their quantiles cut the key's range into 64 ranges
     for each shard. Every range's bytes are then summed exactly. One with over twice its share is subdivided by a second hash
-    of the text; copies of one text, by a hash of the key once they fill over half a shard. Shards get whole (sub)ranges, the largest first.
-    ``slot`` numbers a shard's rows without gaps. Runs agree.
+    of the text; copies of one text, by a hash of the key once they fill over half a shard, and what shares that too by a number that each row has. Shards get whole (sub)ranges, the largest first.
+    ``slot`` numbers a shard's rows without gaps. Runs on the same files agree.
 
     A null text has no bytes and the checksum 0; null keys and repeated rows are rows like others; an empty table gives
     none. Other columns are ignored. Only keys, sizes and checksums are staged and shuffled; the driver holds the sampled
@@ -63,13 +65,14 @@ def shard_rows(docs: DataFrame, shards: int = 24, key: str = "doc_id", text: str
             (F.octet_length(body) + F.lit(overhead)).cast("long").alias("size"),
             F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"),
             F.xxhash64(body).alias("by"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "sizes",
     )
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
     share = max(1.0, total / (shards * RANGES))
     weight = F.col("size") * F.lit(SAMPLED / share)
-    chance = F.shiftrightunsigned(F.xxhash64(F.lit(1), "by", "id"), 11) / F.lit(float(1 << 53))
+    chance = F.shiftrightunsigned(F.xxhash64(F.lit(1), "by", "id", "row"), 11) / F.lit(float(1 << 53))
     sample = rows.where(chance < weight).select("by", F.greatest(weight, F.lit(1.0)).alias("w"))
     bounds = _splitters([(r["by"], r["w"]) for r in sample.collect()], shards * RANGES)
     low, cuts = -(1 << 63), []
@@ -89,11 +92,16 @@ def shard_rows(docs: DataFrame, shards: int = 24, key: str = "doc_id", text: str
     divided = F.broadcast(spark.createDataFrame(pieces, "part int, pieces int, alone boolean"))
     second = F.when(F.col("alone"), F.xxhash64(F.lit(2), "id")).otherwise(F.xxhash64(F.lit(2), "by"))
     placed = placed.join(divided, "part", "left").withColumn("sub", F.coalesce(F.pmod(second, F.col("pieces")), F.lit(0)).cast("int"))
-    sums = placed.groupBy("part", "sub").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
-    dealt = _deal({(r["part"], r["sub"]): (r["bytes"], r["n"]) for r in sums}, shards)
-    home = F.broadcast(spark.createDataFrame([(*p, *s) for p, s in dealt.items()], "part int, sub int, shard int, before long"))
-    order = Window.partitionBy("part", "sub").orderBy("by", "id", "text_crc32")
-    return placed.join(home, ["part", "sub"]).select(
+    # What a copied text's keys do not divide has one key, or none: rows that only their number tells apart.
+    whole = placed.where("alone").groupBy("part", "sub").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > 2 * share).collect()
+    equal = F.broadcast(spark.createDataFrame([(r["part"], r["sub"], int(-(-r["bytes"] // share))) for r in whole], "part int, sub int, rows int"))
+    third = F.coalesce(F.pmod(F.xxhash64(F.lit(3), "row"), F.col("rows")), F.lit(0)).cast("int")
+    placed = placed.join(equal, ["part", "sub"], "left").withColumn("third", third)
+    sums = placed.groupBy("part", "sub", "third").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
+    dealt = _deal({(r["part"], r["sub"], r["third"]): (r["bytes"], r["n"]) for r in sums}, shards)
+    home = F.broadcast(spark.createDataFrame([(*p, *s) for p, s in dealt.items()], "part int, sub int, third int, shard int, before long"))
+    order = Window.partitionBy("part", "sub", "third").orderBy("by", "id", "text_crc32")
+    return placed.join(home, ["part", "sub", "third"]).select(
         F.col("id").alias(key),
         "size",
         "text_crc32",
