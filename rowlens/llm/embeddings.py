@@ -51,7 +51,7 @@ def _block_row(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         key[0].as_py(),
         len(rows),
         dim,
-        table.column("rep").to_numpy().astype(np.int64).tobytes(),
+        table.column("class").to_numpy().astype(np.int64).tobytes(),
         table.column("copies").to_numpy().astype(np.int64).tobytes(),
         rows.tobytes(),
         axis.tolist(),
@@ -123,7 +123,8 @@ def _tile(batch: pa.RecordBatch, least: float) -> pa.RecordBatch:
         else:
             counts += zip(b.ids.tolist(), (a.copies @ linked).tolist(), strict=True)
         counts += zip(a.ids.tolist(), (linked @ b.copies).tolist(), strict=True)
-        links += spanning_forest(linked, a.ids, b.ids)
+        keyed = linked & (a.ids >= 0)[:, None] & (b.ids >= 0)  # no component passes by a vector without a key
+        links += spanning_forest(keyed, a.ids, b.ids)
     counts = [x for x in counts if x[1]]
     a = [x for x, _ in counts] + [x for x, _ in links]
     b = [None] * len(counts) + [x for _, x in links]
@@ -141,15 +142,19 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     not multiplied: what is left grows with the square of a cell, or of the table where directions are spread evenly.
 
     Vectors that are null, zero, or hold null or non-finite numbers link with nothing, and vectors only link with others of
-    their dimension. Repeated rows are other vectors. A null key is a component of its own. Other columns are ignored. Runs its jobs when called.
+    their dimension. Repeated rows are other vectors. A row with a null key counts its links and is
+    counted as the other end of links, but has no component: nothing is reached by it. Other columns are ignored; an empty table gives no rows.
+    Runs its jobs when called.
     """
     every = stage(vectors.select(vectors[f"`{key}`"].cast("long").alias("id"), vectors[f"`{vector}`"].cast("array<double>").alias("vector")), "vectors")
     good = every.where(usable("vector"))
-    # A null id takes part in no component, but counts as a link's other end.
-    classes = stage(good.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).where("rep is not null"), "classes")
+    # Numbers of classes without a key are negative.
+    number = F.monotonically_increasing_id()
+    classes = good.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    classes = stage(classes.withColumn("class", F.when(F.col("rep").isNull(), -1 - number).otherwise(number)), "classes")
     size = F.size("vector").alias("dim")
     spark = every.sparkSession
-    sample = classes.select(size, "vector", F.xxhash64("rep").alias("h"), "rep").orderBy("h", "rep").limit(PIVOTS).collect()
+    sample = classes.select(size, "vector", F.xxhash64("vector").alias("h")).orderBy("h", "vector").limit(PIVOTS).collect()
     pivots = {d: _unit(np.array([r["vector"] for r in sample if r["dim"] == d])) for d in {r["dim"] for r in sample}}
     total = max(1, classes.count())
 
@@ -164,10 +169,10 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
             cell[at] = int(d) * PIVOTS + best
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], [*batch.schema.names, "cell"])
 
-    placed = stage(map_batches(classes, cells, "vector array<double>, rep long, copies long, cell long"), "cells")
+    placed = stage(map_batches(classes, cells, "vector array<double>, rep long, copies long, class long, cell long"), "cells")
     parts = placed.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("parts"))
-    block = F.xxhash64("cell", F.pmod(F.xxhash64("rep"), F.col("parts")))
-    blocks = placed.join(parts, "cell").withColumn("block", block).select("block", "rep", "copies", "vector")
+    block = F.xxhash64("cell", F.pmod(F.xxhash64("vector"), F.col("parts")))
+    blocks = placed.join(parts, "cell").withColumn("block", block).select("block", "class", "copies", "vector")
     blocks = stage(blocks.groupBy("block").applyInArrow(_block_row, BLOCK_SCHEMA), "blocks")
     # Pairs of blocks: the heads are numbered, and each meets the ones before it.
     heads = blocks.select("block", "dim", "axis", "angle")
@@ -183,9 +188,11 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     tiles = pairs.join(one, pairs["block"] == one["block1"]).join(two, pairs["other"] == two["block2"]).drop("block", "other")
     tiles = tiles.repartition(spark.sparkContext.defaultParallelism * 4, "block1", "block2")
     found = stage(map_batches(tiles, lambda batch: _tile(batch, least), "a long, b long, n long"), "found")
-    counts = found.where("n is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("links"))
-    reached = components(found.where("b is not null")).withColumnRenamed("id", "rep")
-    classes = classes.join(counts, "rep", "left").join(reached, "rep", "left")
+    counts = found.where("n is not null").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("links"))
+    reached = components(found.where("b is not null")).select(F.col("id").alias("class"), F.col("component_id").alias("home"))
+    reached = stage(reached.join(classes.select("class", "rep"), "class"), "reached")
+    reached = reached.join(reached.groupBy("home").agg(F.min("rep").alias("component_id")), "home").select("class", "component_id")
+    classes = classes.join(counts, "class", "left").join(reached, "class", "left")
     known = classes.select("vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component_id", "rep").alias("c"))
     return every.join(known, "vector", "left").select(
         F.col("id").alias(key),
