@@ -151,19 +151,22 @@ def test_segment_keys_find_every_short_pair(llm):
     assert len(pairs) > 50 and all(set(r.a) & set(r.b) for r, (a, b) in zip(kept, pairs) if a != b)
 
 
-def test_block_keys_find_every_pair_within_three_bits(llm):
+def test_block_keys_find_every_pair_of_few_bits(llm):
+    """SimHashes of 128 bits that differ in fewer bits than there are blocks agree in a block, whatever bits these are."""
     rng = np.random.default_rng(2)
     rows = []
     for n in range(200):
-        h = int(rng.integers(-(2**62), 2**62))
-        flips = rng.choice(63, 3, replace=False)
-        rows += [(n, h), (n, h ^ sum(1 << int(b) for b in flips))]
-    df = llm.createDataFrame(rows, "n long, simhash long").selectExpr("n", "simhash")
-    keys = df.select("n", "simhash", *[k.alias(f"k{i}") for i, k in enumerate(lines.block_keys("simhash"))]).collect()
+        bits = rng.integers(0, 2, 128)
+        near = bits.copy()
+        near[rng.choice(128, lines.BLOCKS - 1, replace=False)] ^= 1
+        for b in (bits, near):
+            s1, s2 = (int("".join(map(str, part[::-1])), 2) for part in (b[:64], b[64:]))
+            rows.append((n, s1 - (s1 >> 63 << 64), s2 - (s2 >> 63 << 64), 50, []))
+    df = llm.createDataFrame(rows, "n long, s1 long, s2 long, size int, keys array<long>")
     pairs = {}
-    for r in keys:
-        pairs.setdefault(r.n, []).append(tuple(r)[2:])
-    assert all(any(x == y for x, y in zip(a, b)) for a, b in pairs.values())
+    for r in df.select("n", lines.block_keys(lines.SIMILAR).alias("keys")).collect():
+        pairs.setdefault(r.n, []).append({k >> lines.BESIDE for k in r["keys"]})
+    assert all(len(a) == lines.BLOCKS * lines.ARRANGEMENTS and a & b for a, b in pairs.values())
 
 
 def test_shards(make, odd_rows):
@@ -176,6 +179,18 @@ def test_shards(make, odd_rows):
         assert sorted(r.slot for r in found if r.shard == s) == list(range(sum(r.shard == s for r in found)))
 
 
+def test_shards_are_near_equal_whatever_is_equal(make):
+    """A third of the rows equal in text and key (null, or not), equal in text alone, and all rows equal."""
+    others = [(i, f"text {i} " * (1 + i % 13)) for i in range(4000)]
+    thirds = [[(None, "the same text " * 7)] * 2000, [(-5, "the same text " * 7)] * 2000, [(10_000 + i, "the same text " * 7) for i in range(2000)]]
+    for rows in [others + t for t in thirds] + [[(None, "x")] * 3000]:
+        found = sharding.shard_rows(make(rows), shards=8).collect()
+        held = np.bincount([r.shard for r in found], [r["size"] for r in found], minlength=8)
+        assert len(found) == len(rows) and held.max() < 1.05 * held.mean() and held.min() > 0.95 * held.mean()
+        for s in range(8):
+            assert sorted(r.slot for r in found if r.shard == s) == list(range(sum(r.shard == s for r in found)))
+
+
 def test_token_counts(make, odd_rows):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(tokencount.TOKENIZER))
     rows = odd_rows + [(50, "It's <|endoftext|> ÀÉÎ Σίσυφος x  don't　go 12345 é")]
@@ -264,8 +279,7 @@ def test_mixture(make, odd_rows):
     for s in order:
         mine = [r for r in taken if r._source == name(s)]
         assert mine[0].target == pytest.approx(target[s]) and all(0 <= r.taken <= 2 * r["size"] for r in mine)
-        if s != "a":  # a holds repeated rows, which share one fate
-            assert abs(sum(r.taken for r in mine) - target[s]) <= 1
+        assert abs(sum(r.taken for r in mine) - target[s]) <= 1
     assert mixing.mix_documents(make(rows)).columns == make(rows).columns
 
 
@@ -322,6 +336,41 @@ def test_toxicity_learns_and_quotes_count_apart(make, llm):
     assert all(scored[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, _ in labels)
 
 
+def test_short_words_are_terms_and_quotations_are_apart(make, llm):
+    """Toxic rows marked only by words of one, three and eight letters; clean rows that quote the long one."""
+    rng = np.random.default_rng(10)
+    rows, labels = [], []
+    for i in range(900):
+        w = [f"word{x}" for x in rng.integers(0, 300, 40)]
+        at = int(rng.integers(5, 35))
+        toxic = i % 5 == 0
+        if toxic:
+            for k in rng.choice(40, 3, replace=False):
+                w[k] = ("zog", "ж", "grumblef")[i // 5 % 3]
+        elif i % 100 == 1:
+            w[at] = '"grumblef"'
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    model = toxicity.fit_toxicity(make(rows), llm.createDataFrame(labels, "doc_id long, toxic int"))
+    assert {("zog", False), ("ж", False)} <= set(model.terms)
+    found = {r.doc_id: r.score for r in make(rows).select("doc_id", toxicity.score_column(model, "text").alias("score")).collect()}
+    out = [i for i, _ in labels if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert all((found[i] >= 0.7) == (i % 5 == 0) for i in out)
+    # The quotations of held-out rows, and the same rows without quotation marks.
+    plain = make([(i, t.replace('"', "")) for i, t in rows if i % 100 == 1]).select("doc_id", toxicity.score_column(model, "text").alias("score")).collect()
+    assert len(plain) == 9 and all(found[r.doc_id] < r.score - 0.05 for r in plain)
+
+
+def test_lexicon_has_no_bound_of_its_own(make, llm):
+    """700 strong terms of three letters, so that no stem stands for several: all are learnt."""
+    rng = np.random.default_rng(13)
+    letters = "abcdefghij"
+    terms = [letters[n // 100] + letters[n // 10 % 10] + letters[n % 10] for n in range(700)]
+    rows = [(i, " ".join(rng.permutation(terms)[:350])) for i in range(120)] + [(1000 + i, " ".join(f"w{x}" for x in rng.integers(0, 10**6, 9))) for i in range(400)]
+    model = toxicity.fit_toxicity(make(rows), llm.createDataFrame([(d, int(d < 1000)) for d, _ in rows], "doc_id long, toxic int"))
+    assert {t for t, _ in model.terms} == set(terms)
+
+
 def test_empty_tables(make, llm):
     none = make([])
     labels = llm.createDataFrame([], "doc_id long, toxic int")

@@ -60,6 +60,17 @@ def test_few_or_no_vectors(llm):
     assert hnsw.neighbours(none, none).count() == 0 and embeddings.near_vectors(none).count() == 0
 
 
+def test_rows_without_a_key_are_ends_of_links(llm):
+    """A null key near row 0, one equal to row 1, two equal ones that alone would join rows 4 and 5, and one far from all."""
+    turn = lambda degrees: [float(np.cos(np.radians(degrees))), float(np.sin(np.radians(degrees)))]
+    rows = [(0, turn(0)), (None, turn(0.5)), (1, turn(90)), (None, turn(90)), (4, turn(180)), (None, turn(190)), (None, turn(190)), (5, turn(205)), (None, turn(300))]
+    found = embeddings.near_vectors(table(llm, rows)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in found if r.vec_id is not None} == {
+        0: (1, 0, True), 1: (1, 1, True), 4: (2, 4, True), 5: (2, 5, True)
+    }
+    assert sorted((r.n_links, r.component_id, r.kept) for r in found if r.vec_id is None) == [(0, None, True), (1, None, True), (1, None, True), (3, None, True), (3, None, True)]
+
+
 def test_components_of_chains_and_stars(llm):
     links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(200, 200), (7, 3)]
     found = {r.id: r.component_id for r in components(llm.createDataFrame(links, "a long, b long")).collect()}
