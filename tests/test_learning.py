@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from rowlens.operators import classify, cluster, evaluate, features, sampling
@@ -174,6 +175,20 @@ def test_classifiers_find_a_real_signal(spark, sf, kind):
     assert math.isclose(row.accuracy + row.error, 1.0)
 
 
+@pytest.mark.parametrize("kind", SMALL)
+def test_classifiers_score_in_a_session_that_observed(spark, kind):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 3}
+    rows = spark.range(400).select(F.col("id").cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("z"), (F.col("id") >= 200).cast("double").alias("y"))
+    vectors = features.assemble(rows, ["x", "z"])
+    settings = classify.known_settings(kind, {"maxDepth": 3, "numTrees": 5, "maxIter": 5, "featureSubsetStrategy": "all"})
+    scored = classify.score(classify.train(vectors, kind, "y", **settings), vectors).repartition(3)
+    row = evaluate.evaluate(scored, "y", 1).first()
+    assert (row.tp + row.fn, row.fp + row.tn) == (200, 200)
+    assert row.auc > (0.85 if kind == "naive_bayes" else 0.95)
+
+
 def test_settings_are_the_published_ones():
     tree = classify.estimator("decision_tree", "y")
     assert (tree.getImpurity(), tree.getMaxBins(), tree.getMaxDepth(), tree.getSeed()) == ("entropy", 100, 25, 123)
