@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import public_tokenizers
@@ -31,17 +33,20 @@ def load_tokenizer(name: str):
     return _tokenizers[name]
 
 
-def _word_tables(name: str, strings: dict[int, str], within: bool) -> dict[int, np.ndarray]:
-    """For each word its token count, or with ``within`` the counts of all its prefixes by characters."""
-    tokenizer, known = load_tokenizer(name)
-    known = known.setdefault(within, {})
+def _word_tables(name: str, keys: list[int], text_of: Callable[[int], str], within: bool) -> dict[int, np.ndarray]:
+    """Token counts by word for all ``keys``, or with ``within`` the counts of all prefixes of a word by characters.
+
+    ``text_of`` gives the word of an entry of ``keys``. The memory is started anew before words are looked up, so all of them are in it then.
+    """
+    tokenizer, remembered = load_tokenizer(name)
+    known = remembered.setdefault(within, {})
     if len(known) > REMEMBERED:
         known.clear()
-    new = [h for h in strings if h not in known]
-    parts = [[strings[h][:n] for n in range(1, len(strings[h]) + 1)] if within else [strings[h]] for h in new]
+    new = [(h, text_of(i)) for i, h in enumerate(keys) if h not in known]
+    parts = [[word[:n] for n in range(1, len(word) + 1)] if within else [word] for _, word in new]
     flat = tokenizer.encode_batch_fast([p for ps in parts for p in ps], add_special_tokens=False)
     at = 0
-    for h, ps in zip(new, parts, strict=True):
+    for (h, _), ps in zip(new, parts, strict=True):
         counts = [len(e.ids) for e in flat[at : at + len(ps)]]
         known[h] = np.array(counts, np.int32) if within else counts[0]
         at += len(ps)
@@ -54,15 +59,7 @@ def _prefixes(batch: pa.RecordBatch, name: str, within: bool) -> pa.RecordBatch:
     seen = np.full(len(unique), 0, np.int64)
     seen[code[::-1]] = np.arange(len(code))[::-1]  # a place where the word stands
     keys = unique.tolist()
-    _, known = load_tokenizer(name)
-    have = known.get(within, {})
-    strings = {
-        h: words.data[words.start[i] : words.end[i]].tobytes().decode("utf-8") for h, i in zip(keys, seen.tolist(), strict=True) if h not in have
-    }
-    known = _word_tables(name, strings | {h: "" for h in keys if h in have}, within)
-    if any(h not in known for h in keys):  # the memory was started anew
-        strings = {h: words.data[words.start[i] : words.end[i]].tobytes().decode("utf-8") for h, i in zip(keys, seen.tolist(), strict=True)}
-        known = _word_tables(name, strings, within)
+    known = _word_tables(name, keys, lambda i: words.data[words.start[seen[i]] : words.end[seen[i]]].tobytes().decode("utf-8"), within)
     n_bytes = np.diff(words.offset)
     if not within:
         each = np.array([known[h] for h in keys], np.int32)[code] if keys else np.zeros(0, np.int32)

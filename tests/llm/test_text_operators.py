@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -204,6 +205,18 @@ def test_token_counts(make, odd_rows):
     assert count(rows[0][1].encode()[:cut].decode()) <= 20
 
 
+@pytest.mark.parametrize("within", [False, True])
+def test_token_counts_hold_when_the_memory_starts_anew(monkeypatch, within):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(tokencount.TOKENIZER))
+    monkeypatch.setattr(tokencount, "REMEMBERED", 20)
+    monkeypatch.setattr(tokencount, "_tokenizers", {})
+    for low in (0, 10, 25, 25):
+        texts = [f"the word{i} un{i}seen" for i in range(low, low + 30)] + [None]
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["id", "value"])
+        counted = tokencount._prefixes(batch, tokencount.TOKENIZER, within)
+        assert counted.column(2).to_pylist() == [len(tokenizer.encode(t or "", add_special_tokens=False).ids) for t in texts]
+
+
 def test_packing(make, odd_rows):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
     rows = [r for r in odd_rows if r[0] is not None and r[0] != 7] + [(60, "a <|endoftext|> b c")]
