@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -15,6 +16,16 @@ from rowlens.operators.profile import top_k
 #: The defaults of the outlier report.
 K, MAX_ITERATIONS, SEED, REPORT_ROWS = 10, 100, 1234, 20
 
+#: Numbers that a task of a fit holds in memory, a row counting its vector and ten more. It bounds the size of tasks, not what is read.
+TASK_NUMBERS = 16_000_000
+
+
+def _in_even_tasks(points: DataFrame, features: str) -> DataFrame:
+    """Rows over as many tasks as their number and width need, as compressed files of one task may hold any number of rows."""
+    size = points.agg(F.count("*").alias("n"), F.max(F.size(vector_to_array(name(features)))).alias("width")).first()
+    tasks = math.ceil(size.n * ((size.width or 0) + 10) / TASK_NUMBERS)
+    return points.repartition(max(tasks, points.sparkSession.sparkContext.defaultParallelism)) if tasks > 1 else points
+
 
 def fit_kmeans(
     df: DataFrame,
@@ -24,10 +35,12 @@ def fit_kmeans(
     seed: int = SEED,
     weight: str | None = None,
 ) -> KMeansModel:
+    """The fit reads its rows many times from memory, so they are divided by number and width first."""
+    points = _in_even_tasks(df.select(name(features), *([name(weight)] if weight else [])), features)
     estimator = KMeans(featuresCol=features, k=k, maxIter=max_iterations, seed=seed)
     if weight:
         estimator = estimator.setWeightCol(weight)
-    return estimator.fit(df)
+    return estimator.fit(points)
 
 
 def assign(model: KMeansModel, df: DataFrame) -> DataFrame:

@@ -150,6 +150,16 @@ def test_kmeans_distance_is_that_of_the_nearest_center(spark):
     assert [r.distance for r in far] == pytest.approx(sorted(gaps.min(axis=1), reverse=True)[:5])
 
 
+def test_kmeans_tasks_are_bounded_by_rows_and_width(spark, monkeypatch):
+    rows = spark.range(3000).coalesce(1).select((F.col("id") % 100).cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"))
+    vectors = features.assemble(rows, ["x", "y"])
+    monkeypatch.setattr(cluster, "TASK_NUMBERS", 12 * 400)
+    held = [len(part) for part in cluster._in_even_tasks(vectors, "features").rdd.glom().collect()]
+    assert sum(held) == 3000 and len(held) == 8 and max(held) < 500
+    assert sum(cluster.fit_kmeans(vectors, k=3).summary.clusterSizes) == 3000
+    assert cluster._in_even_tasks(vectors.limit(0), "features").count() == 0
+
+
 SMALL = {
     "decision_tree": {"maxDepth": 5},
     "random_forest": {"maxDepth": 5, "numTrees": 8},
