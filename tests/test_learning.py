@@ -199,6 +199,37 @@ def test_classifiers_score_in_a_session_that_observed(spark, kind):
     assert row.auc > (0.85 if kind == "naive_bayes" else 0.95)
 
 
+@pytest.mark.parametrize("kind", ["decision_tree", "gbt"])
+def test_trees_of_weighted_cells_are_those_of_rows(spark, monkeypatch, kind):
+    rows = spark.range(6000).select(
+        (F.col("id") % 23).cast("double").alias("x"), (F.col("id") % 11 / 2).alias("z"), F.concat(F.lit("c"), F.col("id") % 3).alias("c"), F.pmod(F.hash("id"), F.lit(5)).alias("u")
+    )
+    noisy = ((F.col("x") + 4 * F.col("z") > 20) & (F.col("c") != "c1")) != (F.col("u") == 0)
+    vectors = features.assemble(features.index_for_models(rows.withColumn("y", noisy.cast("double")), ["c"]), ["x", "z", "c"]).select("y", "features")
+    settings = {"maxDepth": 4, "maxBins": 32, **classify.known_settings(kind, {"maxIter": 4})}
+    plain = classify.score(classify.train(vectors, kind, "y", **settings), vectors)
+    monkeypatch.setattr(classify, "CELLS_FROM", 1000)
+    model = classify.train(vectors, kind, "y", **settings)
+    by_cells = classify.score(model, vectors)
+    assert isinstance(model, classify.BinnedModel) and by_cells.columns == plain.columns
+    assert classify._cells(vectors, kind, "y", "features", settings)[1].agg(F.sum("_weight"), F.count("*")).first()[0] == 6000
+    both = [sorted((r.features.toArray().tolist(), r.prediction, round(r.score, 9)) for r in df.collect()) for df in (plain, by_cells)]
+    assert both[0] == both[1]
+
+
+def test_trees_of_cells_cut_many_values_by_quantiles(spark, monkeypatch):
+    monkeypatch.setattr(classify, "CELLS_FROM", 1000)
+    rows = spark.range(20000).select(F.col("id").cast("double").alias("x"), (F.col("id") >= 8000).cast("double").alias("y"))
+    vectors = features.assemble(rows, ["x"])
+    model = classify.train(vectors, "decision_tree", "y", maxDepth=6, maxBins=100)
+    assert len(model.bounds[0]) == 99
+    wrong = classify.score(model, vectors).filter(F.col("prediction") != F.col("y")).count()
+    assert wrong <= 200
+    unlike = features.assemble(rows.withColumn("w", F.col("x") * 3), ["x", "w"]).limit(3000)
+    monkeypatch.setattr(classify, "CELLS_FROM", 4000)
+    assert classify._cells(unlike, "gbt", "y", "features", {}) is None
+
+
 def test_settings_are_the_published_ones():
     tree = classify.estimator("decision_tree", "y")
     assert (tree.getImpurity(), tree.getMaxBins(), tree.getMaxDepth(), tree.getSeed()) == ("entropy", 100, 25, 123)
