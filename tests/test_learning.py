@@ -209,6 +209,7 @@ def test_trees_of_weighted_cells_are_those_of_rows(spark, monkeypatch, kind):
     settings = {"maxDepth": 4, "maxBins": 32, **classify.known_settings(kind, {"maxIter": 4})}
     plain = classify.score(classify.train(vectors, kind, "y", **settings), vectors)
     monkeypatch.setattr(classify, "CELLS_FROM", 1000)
+    monkeypatch.setattr(classify, "LEVELS_FROM", 1)
     model = classify.train(vectors, kind, "y", **settings)
     by_cells = classify.score(model, vectors)
     assert isinstance(model, classify.BinnedModel) and by_cells.columns == plain.columns
@@ -219,6 +220,7 @@ def test_trees_of_weighted_cells_are_those_of_rows(spark, monkeypatch, kind):
 
 def test_trees_of_cells_cut_many_values_by_quantiles(spark, monkeypatch):
     monkeypatch.setattr(classify, "CELLS_FROM", 1000)
+    monkeypatch.setattr(classify, "LEVELS_FROM", 1)
     rows = spark.range(20000).select(F.col("id").cast("double").alias("x"), (F.col("id") >= 8000).cast("double").alias("y"))
     vectors = features.assemble(rows, ["x"])
     model = classify.train(vectors, "decision_tree", "y", maxDepth=6, maxBins=100)
