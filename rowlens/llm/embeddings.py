@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowlens.llm.common import map_batches, stage
+from rowlens.llm.common import map_batches, stage, unstage
 from rowlens.llm.graph import components, spanning_forest
 
 #: Vectors in a block. Two blocks and one tile of products bound a task's memory.
@@ -53,7 +53,7 @@ def _block_row(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         dim,
         table.column("class").to_numpy().astype(np.int64).tobytes(),
         table.column("copies").to_numpy().astype(np.int64).tobytes(),
-        rows.tobytes(),
+        rows.astype(np.float32 if pa.types.is_float32(vectors.type.value_type) else np.float64).tobytes(),  # as they were given
         axis.tolist(),
         angle,
     ]
@@ -68,7 +68,8 @@ class _Block:
     def __init__(self, row: dict, side: str):
         self.ids = np.frombuffer(row[f"ids{side}"], np.int64)
         self.copies = np.frombuffer(row[f"copies{side}"], np.int64)
-        self.unit = _unit(np.frombuffer(row[f"vectors{side}"], np.float64).reshape(len(self.ids), -1))
+        given, dim = row[f"vectors{side}"], row[f"dim{side}"]
+        self.unit = _unit(np.frombuffer(given, np.float32 if len(given) == 4 * len(self.ids) * dim else np.float64).reshape(-1, dim))
         self.scale = float(np.abs(self.unit).max()) / 127
         self.int8 = np.rint(self.unit / self.scale).astype(np.int8)
         self.error = np.sqrt(((self.unit - self.int8 * self.scale) ** 2).sum(axis=1))
@@ -139,21 +140,28 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     and knows each vector's quantisation error, so that only pairs that may be on either side of the threshold are computed
     in double precision. A task returns link counts and a spanning forest, never all pairs. Blocks are cut from cells around
     pivots (a bounded sample), and two blocks whose cones of directions lie further apart than the threshold's angle are
-    not multiplied: what is left grows with the square of a cell, or of the table where directions are spread evenly.
+    not multiplied: what is left grows with the square of a cell, or of the table where directions are spread evenly. That is time
+    alone: blocks meet where their files are read, in a task for two files, and are not shuffled.
 
     Vectors that are null, zero, or hold null or non-finite numbers link with nothing, and vectors only link with others of
     their dimension. Repeated rows are other vectors. A row with a null key counts its links and is
     counted as the other end of links, but has no component: nothing is reached by it. Other columns are ignored; an empty table gives no rows.
     Runs its jobs when called.
     """
-    every = stage(vectors.select(vectors[f"`{key}`"].cast("long").alias("id"), vectors[f"`{vector}`"].cast("array<double>").alias("vector")), "vectors")
+    kind = vectors.schema[vector].dataType.simpleString()
+    every = vectors.select(
+        vectors[f"`{key}`"].cast("long").alias("id"), vectors[f"`{vector}`"].cast(kind if kind == "array<float>" else "array<double>").alias("vector")
+    )
     good = every.where(usable("vector"))
     # Numbers of classes without a key are negative.
     number = F.monotonically_increasing_id()
     classes = good.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     classes = stage(classes.withColumn("class", F.when(F.col("rep").isNull(), -1 - number).otherwise(number)), "classes")
+    # From here on a row is known by its class, so that vectors are on disk once, or twice while blocks are made.
+    rows = stage(every.join(classes.select("vector", "class"), "vector", "left").select("id", "class"), "rows")
+    known = stage(classes.select("class", "rep", "copies"), "known")
     size = F.size("vector").alias("dim")
-    spark = every.sparkSession
+    spark = vectors.sparkSession
     sample = classes.select(size, "vector", F.xxhash64("vector").alias("h")).orderBy("h", "vector").limit(PIVOTS).collect()
     pivots = {d: _unit(np.array([r["vector"] for r in sample if r["dim"] == d])) for d in {r["dim"] for r in sample}}
     total = max(1, classes.count())
@@ -169,32 +177,29 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
             cell[at] = int(d) * PIVOTS + best
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], [*batch.schema.names, "cell"])
 
-    placed = stage(map_batches(classes, cells, "vector array<double>, rep long, copies long, class long, cell long"), "cells")
+    kind = classes.schema["vector"].dataType.simpleString()
+    placed = map_batches(classes.select("vector", "copies", "class"), cells, f"vector {kind}, copies long, class long, cell long")
     parts = placed.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("parts"))
     block = F.xxhash64("cell", F.pmod(F.xxhash64("vector"), F.col("parts")))
     blocks = placed.join(parts, "cell").withColumn("block", block).select("block", "class", "copies", "vector")
-    blocks = stage(blocks.groupBy("block").applyInArrow(_block_row, BLOCK_SCHEMA), "blocks")
-    # Pairs of blocks: the heads are numbered, and each meets the ones before it.
-    heads = blocks.select("block", "dim", "axis", "angle")
-    number = heads.groupBy("dim").agg(F.sort_array(F.collect_list("block")).alias("all"))
-    heads = heads.join(number, "dim").withColumn("other", F.explode(F.filter("all", lambda x: x <= F.col("block")))).drop("all")
-    other = blocks.select(F.col("block").alias("other"), F.col("axis").alias("axis2"), F.col("angle").alias("angle2"))
-    cosine = F.aggregate(F.zip_with("axis", "axis2", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    apart = F.acos(F.least(F.greatest(cosine, F.lit(-1.0)), F.lit(1.0))) - F.col("angle") - F.col("angle2")
-    pairs = heads.join(other, "other").where(apart <= math.acos(least) + 1e-6).select("block", "other")
-    pairs = stage(pairs, "pairs")
-    one = blocks.select(F.col("block").alias("block1"), *(F.col(c).alias(f"{c}1") for c in ("ids", "copies", "vectors")))
-    two = blocks.select(F.col("block").alias("block2"), *(F.col(c).alias(f"{c}2") for c in ("ids", "copies", "vectors")))
-    tiles = pairs.join(one, pairs["block"] == one["block1"]).join(two, pairs["other"] == two["block2"]).drop("block", "other")
-    tiles = tiles.repartition(spark.sparkContext.defaultParallelism * 4, "block1", "block2")
+    tasks = max(2 * spark.sparkContext.defaultParallelism, math.ceil(total / BLOCK))
+    blocks = stage(blocks.repartition(tasks, "block").groupBy("block").applyInArrow(_block_row, BLOCK_SCHEMA), "blocks")
+    unstage(classes)
+    # Every file of blocks meets every other where it is read: pairs of blocks grow with the square of the table, and are never on disk.
+    one, two = (blocks.select(*(F.col(c).alias(f"{c}{side}") for c in blocks.columns)).hint("shuffle_replicate_nl") for side in (1, 2))
+    cosine = F.aggregate(F.zip_with("axis1", "axis2", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    apart = F.acos(F.least(F.greatest(cosine, F.lit(-1.0)), F.lit(1.0))) - F.col("angle1") - F.col("angle2")
+    near = (F.col("block1") >= F.col("block2")) & F.col("dim1").between(F.col("dim2"), F.col("dim2")) & (apart <= math.acos(least) + 1e-6)
+    told = [f"{c}{side}" for c in ("block", "dim", "ids", "copies", "vectors") for side in (1, 2)]
+    tiles = one.join(two, near).select(*told)
     found = stage(map_batches(tiles, lambda batch: _tile(batch, least), "a long, b long, n long"), "found")
     counts = found.where("n is not null").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("links"))
     reached = components(found.where("b is not null")).select(F.col("id").alias("class"), F.col("component_id").alias("home"))
-    reached = stage(reached.join(classes.select("class", "rep"), "class"), "reached")
+    reached = stage(reached.join(known.select("class", "rep"), "class"), "reached")
     reached = reached.join(reached.groupBy("home").agg(F.min("rep").alias("component_id")), "home").select("class", "component_id")
-    classes = classes.join(counts, "class", "left").join(reached, "class", "left")
-    known = classes.select("vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component_id", "rep").alias("c"))
-    return every.join(known, "vector", "left").select(
+    known = known.join(counts, "class", "left").join(reached, "class", "left")
+    known = known.select("class", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component_id", "rep").alias("c"))
+    return rows.join(known, "class", "left").select(
         F.col("id").alias(key),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component_id"),

@@ -75,3 +75,20 @@ def test_components_of_chains_and_stars(llm):
     links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(200, 200), (7, 3)]
     found = {r.id: r.component_id for r in components(llm.createDataFrame(links, "a long, b long")).collect()}
     assert found == {**dict.fromkeys(range(51), 0), **dict.fromkeys(range(100, 160), 100)}
+
+
+def test_blocks_meet_without_a_shuffle(llm, vectors, monkeypatch):
+    """Pairs of blocks are never on disk, vectors are staged once as they were given, and two widths in one table, given as doubles, come out as by brute force."""
+    plans, stage = {}, embeddings.stage
+    monkeypatch.setattr(embeddings, "BLOCK", 40)
+    monkeypatch.setattr(embeddings, "stage", lambda df, name: plans.update({name: (df._jdf.queryExecution().executedPlan().toString(), df.schema)}) or stage(df, name))
+    rows = [(i, np.float64(v)[: 16 if i % 3 else 8] * 1.1) for i, v in vectors[:300]]
+    df = llm.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in embeddings.near_vectors(df).collect()}
+    unit = [v / np.linalg.norm(v) for _, v in rows]
+    assert found == {i: sum(len(x) == len(y) and x @ y >= 0.95 for y in unit) - 1 for i, x in enumerate(unit)}
+    tiles, _ = plans["found"]
+    assert "CartesianProduct" in tiles and "Exchange" not in tiles
+    assert [name for name, (_, schema) in plans.items() if "vector" in schema.fieldNames()] == ["classes"]
+    embeddings.near_vectors(table(llm, vectors[:50])).count()
+    assert plans["classes"][1]["vector"].dataType.simpleString() == "array<float>"
